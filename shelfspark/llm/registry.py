@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfspark.llm import language, quality, toxicity
 from shelfspark.llm.chat import format_chats, read_back
 from shelfspark.llm.decontaminate import contamination
 from shelfspark.llm.exact_dup import exact_duplicates
 from shelfspark.llm.mixing import mix_sources
 from shelfspark.llm.near_dup import near_duplicates
+from shelfspark.llm.ngrams import fold
 from shelfspark.llm.sharding import shard
 from shelfspark.llm.url_filter import filter_urls
 
@@ -39,6 +41,24 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.train(docs.filter(fold(F.col("doc_id"), 4) != 2))
+    return language.identify(docs.select("doc_id", "text"), model).select("doc_id", F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.filter(fold(F.col("doc_id"), 5) != 0))
+    return quality.score(docs, model).select("doc_id", F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.filter(fold(F.col("doc_id"), 5) != 0), docs)
+    return toxicity.score(docs, model).select("doc_id", F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted", F.size("passages").cast("long").alias("n_passages"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), keep="largest")
 
@@ -61,9 +81,11 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    import corpus_pipeline
+
     return {
-        "op1_sharding": op1_sharding, "op2_url_filter": op2_url_filter, "op3_near_dedup": op3_near_dedup, "op5_exact_dedup": op5_exact_dedup,
-        "op7_decontamination": op7_decontamination, "op9_mixing": op9_mixing, "op10_chat_format": op10_chat_format,
+        "pipeline": corpus_pipeline.run, "op1_sharding": op1_sharding, "op2_url_filter": op2_url_filter, "op3_near_dedup": op3_near_dedup, "op4_language_id": op4_language_id,
+        "op5_exact_dedup": op5_exact_dedup, "op6_quality": op6_quality, "op7_decontamination": op7_decontamination, "op8_toxicity": op8_toxicity, "op9_mixing": op9_mixing, "op10_chat_format": op10_chat_format,
     }
 
 
