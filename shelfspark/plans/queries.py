@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.operators import matching
+from shelfspark.plans.more_queries import MORE
 from shelfspark.schema import BASE, COMPETITOR
 from shelfspark.sources.adapter import snapshots
 
@@ -50,4 +51,4 @@ MATCHING: dict[str, Query] = {
 
 
 def queries() -> dict[str, Query]:
-    return dict(MATCHING)
+    return MATCHING | MORE
