@@ -58,7 +58,8 @@ def minimax_cuts(ends: DataFrame, shards: int, total: int, largest: int) -> tupl
     windows = [(0, total)]
     lo, hi = max(largest, -(-total // shards)), total
     while True:
-        width = max(1, -(-sum(b - a for a, b in windows) // BINS))
+        # with few bins for each cut the stretches would not shrink
+        width = max(1, -(-sum(b - a for a, b in windows) // max(BINS, 64 * shards)))
         inside = F.lit(False)
         for a, b in windows:
             inside |= F.col("end").between(a, b)
