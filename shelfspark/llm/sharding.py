@@ -5,8 +5,9 @@ search; a capacity is feasible if filling shard after shard up to it, group by g
 
 The running sizes of the groups stay in a table. The greedy check needs to know, for a position, the last group end at
 or below it; the driver holds the last group end of at most BINS equal bins of the positions in question, which bounds
-every such answer from below and above. So each capacity is feasible, infeasible or undecided; only the stretches where
-undecided capacities could cut are read again, in finer bins, until no capacity is left undecided. Shards are then told
+every such answer from below and above. So each capacity is feasible, infeasible or undecided; only the bins in which
+undecided capacities could cut are read again, in finer bins, until no capacity is left undecided. A bin that is read
+again is cut in two at least and a bin of one byte holds one end, so the search ends however the sizes lie. Shards are then told
 by comparing a row's digest with the cut digests, which needs no join and no shuffle.
 """
 
@@ -54,50 +55,40 @@ def _search(lo: int, hi: int, feasible) -> int:
 
 def minimax_cuts(ends: DataFrame, shards: int, total: int, largest: int) -> tuple[int, list[int]]:
     """The smallest feasible capacity, and where its greedy shards end."""
-    known, exact = [0, total], False
-    windows = [(0, total)]
+    most = max(BINS, 64 * shards)
+    known, unsure = [0, total], {}  # unsure: the last end of a bin that holds several -> the bits of the bin's width
     lo, hi = max(largest, -(-total // shards)), total
-    while True:
-        # with few bins for each cut the stretches would not shrink
-        width = max(1, -(-sum(b - a for a, b in windows) // max(BINS, 64 * shards)))
-        inside = F.lit(False)
-        for a, b in windows:
-            inside |= F.col("end").between(a, b)
-        bins = ends.filter(inside).groupBy(F.floor((F.col("end") - 1) / width).alias("bin")).agg(F.max("end").alias("last"), F.count("*").alias("n")).collect()  # at most BINS rows and two for each window
-        exact = all(r["n"] == 1 for r in bins)
-        known = sorted({0, total, *known, *(r["last"] for r in bins)})
-        open_bins = {r["bin"] for r in bins if r["n"] > 1}
-
-        def at_least(frm: int, to: int, known=known) -> int:
-            return max(frm, known[bisect_right(known, to) - 1])
-
-        def at_most(frm: int, to: int, known=known, open_bins=open_bins, width=width, windows=windows) -> int:
-            k = bisect_right(known, to) - 1
-            low = known[k]
-            if low == to:
-                return to
-            nxt = known[k + 1] if k + 1 < len(known) else total
-            # group ends that aren't known lie only in bins that hold several, below the last one of the bin
-            unknown = (nxt - 1) // width in open_bins and any(a <= to and low < b for a, b in windows)
-            return max(frm, min(to, nxt - 1) if unknown else low)
+    bits, rows = max(0, (total - 1).bit_length() - (most.bit_length() - 1)), ends
+
+    def start(last: int) -> int:
+        return ((last - 1) >> unsure[last] << unsure[last]) + 1
+
+    def at_least(frm: int, to: int) -> int:
+        return max(frm, known[bisect_right(known, to) - 1])
 
+    def at_most(frm: int, to: int) -> int:
+        k = bisect_right(known, to)
+        # ends that aren't known lie only in bins that hold several, below the last one of the bin
+        unknown = k < len(known) and known[k] in unsure and start(known[k]) <= to
+        return max(frm, to if unknown else known[k - 1])
+
+    while True:
+        bins = rows.groupBy(F.shiftright(F.col("end") - 1, bits)).agg(F.max("end").alias("last"), F.count("*").alias("n")).collect()  # at most `most` rows
+        known = sorted({*known, *(r["last"] for r in bins)})
+        unsure |= {r["last"]: bits for r in bins if r["n"] > 1}
         hi = _search(lo, hi, lambda c: _chain(c, shards, total, at_least)[-1] == total)
         lo = _search(lo, hi, lambda c: _chain(c, shards, total, at_most)[-1] == total)
         first, last = _chain(lo, shards, total, at_least), _chain(hi, shards, total, at_most)
         if lo == hi and first == last:
             return hi, first
-        if exact and lo == hi:
-            return hi, _chain(hi, shards, total, at_least)
-        windows, old = [], windows
-        for a, b in zip(first, last, strict=True):
-            a = known[max(0, bisect_left(known, a) - 1)] + 1
-            if a <= b:
-                if windows and a <= windows[-1][1] + 1:
-                    windows[-1] = (windows[-1][0], max(b, windows[-1][1]))
-                else:
-                    windows.append((a, b))
-        if windows == old and width == 1:
-            return hi, _chain(hi, shards, total, at_least)
+        # an undecided cut lies in such a bin; the widest of these bins are read again, each cut in two at least
+        touched = [x for x in sorted(unsure) if (i := bisect_left(last, start(x))) < shards and first[i] < x]
+        wide = max(unsure[x] for x in touched)
+        picked = [x for x in touched if unsure[x] == wide][: most // 2]
+        for x in picked:
+            del unsure[x]
+        bits = max(0, wide - ((most // len(picked)).bit_length() - 1))
+        rows = ends.filter(F.col("end").between(picked[0] - (1 << wide), picked[-1]) & F.shiftright(F.col("end") - 1, wide).isin([(x - 1) >> wide for x in picked]))
 
 
 def shard(docs: DataFrame, shards: int = 16, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
