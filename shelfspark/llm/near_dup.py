@@ -11,8 +11,10 @@ ones in each tree. Nothing is dropped for being frequent, and no node is gathere
 Within a node all pairs are compared but few are sent on: the edges of FORESTS edge-disjoint maximum spanning forests.
 They keep every two classes connected that the node's candidate pairs connect, even where FORESTS - 1 of the edges
 between them fail the confirmation, so a group of n copies costs n pairs, not n * n. Candidates are confirmed on
-their full sets, and components are taken over the confirmed links. Nodes that kept candidates back are then compared once more with
-the classes of a component as one vertex: MORE_FORESTS forests of what is not joined yet go to confirmation.
+their full sets, and components are taken over the confirmed links. Nodes that kept candidates back are then compared again with
+the classes of a component as one vertex: MORE_FORESTS forests of what is not joined yet go to confirmation. Nodes that still keep
+some back send all candidates between components, those of FLOORS[0] digits or more first, until none is kept back: in the end each
+candidate pair was confirmed, failed on its full sets, or lies within a component.
 
 At similarity 0.8 exactly, a pair is missed by one tree with probability 0.27 (0.36 two levels deeper), by all
 TREES = 12 with 2e-7 (5e-6); the digit filter misses it with 3e-6. Similar pairs above 0.8 are missed less often.
@@ -45,6 +47,9 @@ PORTION_PAIRS = 1_000_000
 BROADCAST_ROWS = 250_000
 FORESTS = 3
 MORE_FORESTS = 16
+#: After the forests, all candidates between components, from so many agreeing digits on; the last floor leaves none out.
+FLOORS = (200, AGREE)
+BATCH_PAIRS = 100_000
 NONE = (1 << 32) - 1
 
 SKETCH_SCHEMA = "key long, doc_id long, n long, cls binary, digits binary, nodes array<long>"
@@ -153,11 +158,11 @@ def spanning_edges(i: np.ndarray, j: np.ndarray, weight: np.ndarray, n: int, for
     return np.concatenate(taken) if taken else np.zeros(0, np.int64)
 
 
-def _pairs(node: np.ndarray, n: np.ndarray, digits: np.ndarray, root: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _pairs(node: np.ndarray, n: np.ndarray, digits: np.ndarray, root: np.ndarray | None, floor: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Candidate pairs of rows sorted by node and size, and the nodes of which candidates were left out.
 
     A row meets those of its node that have up to a quarter more shingles. With roots, rows of a node that share one
-    count as one vertex, and MORE_FORESTS forests are taken.
+    count as one vertex, and MORE_FORESTS forests are taken, or with a floor all pairs of that many agreeing digits.
     """
     ends = np.append(np.flatnonzero(node[1:] != node[:-1]) + 1, len(node))
     end = np.repeat(ends, np.diff(np.concatenate([[0], ends])))
@@ -178,6 +183,8 @@ def _pairs(node: np.ndarray, n: np.ndarray, digits: np.ndarray, root: np.ndarray
     i, j, same = (np.concatenate(x) for x in zip(*found, strict=True))
     if root is None:
         keep = spanning_edges(i, j, same, len(node), FORESTS)
+    elif floor is not None:
+        keep = np.flatnonzero(same >= floor)
     else:
         vertex = np.unique(mix(node.view(U)) ^ mix(root.view(U) + U(1)), return_inverse=True)[1]
         keep = spanning_edges(vertex[i], vertex[j], same, int(vertex.max()) + 1, MORE_FORESTS)
@@ -200,7 +207,7 @@ def _portions(node: np.ndarray) -> Iterator[tuple[int, int]]:
     yield first, last
 
 
-def _compare(limit: int):
+def _compare(limit: int, floor: int | None = None):
     """Rows sorted by node -> pairs (kind 0) of nodes with up to limit rows, the rows (kind 1) of larger ones, and those (kind 2) of nodes that sent on a part of their pairs."""
 
     def records(kind: int, a, b, node, n, digits) -> pa.RecordBatch:
@@ -212,14 +219,15 @@ def _compare(limit: int):
     def pairs_of(t: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         node, n = np.asarray(t.column("node")), np.asarray(t.column("n"))
         root = np.asarray(t.column("root")) if "root" in t.schema.names else None
-        i, j, cut = _pairs(node, n, matrix(t.column("digits"), DIGITS // 2, U), root)
+        i, j, cut = _pairs(node, n, matrix(t.column("digits"), DIGITS // 2, U), root, floor)
         cls = matrix(t.column("cls"), 16, ">u8")
-        a, b = cls[i], cls[j]
-        swap = (a[:, 0] > b[:, 0]) | ((a[:, 0] == b[:, 0]) & (a[:, 1] > b[:, 1]))
-        a[swap], b[swap] = b[swap], a[swap]
-        ids = [binary_column(x.astype(">u8").view(np.uint8).reshape(-1, 16)) for x in (a, b)]
-        yield records(0, *ids, pa.nulls(len(i), pa.int64()), pa.nulls(len(i), pa.int64()), pa.nulls(len(i), pa.binary()))
-        if root is None and len(cut):
+        for k in range(0, len(i), BATCH_PAIRS):
+            a, b = cls[i[k : k + BATCH_PAIRS]], cls[j[k : k + BATCH_PAIRS]]
+            swap = (a[:, 0] > b[:, 0]) | ((a[:, 0] == b[:, 0]) & (a[:, 1] > b[:, 1]))
+            a[swap], b[swap] = b[swap], a[swap]
+            ids = [binary_column(x.astype(">u8").view(np.uint8).reshape(-1, 16)) for x in (a, b)]
+            yield records(0, *ids, pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.binary()))
+        if len(cut):
             yield rows_of(t.filter(pa.array(np.isin(node, cut))), 2)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -340,12 +348,14 @@ def candidate_pairs(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return reduce(DataFrame.union, pairs).distinct(), reduce(DataFrame.union, partial)
 
 
-def more_pairs(partial: DataFrame, roots: DataFrame, tried: DataFrame) -> DataFrame:
-    """The candidates of partial's nodes between classes that no confirmed link has joined so far, without those that were tried."""
+def more_pairs(partial: DataFrame, roots: DataFrame, tried: DataFrame, floor: int | None) -> tuple[DataFrame, DataFrame]:
+    """The candidates of partial's nodes between classes that no confirmed link has joined so far, without those that were tried;
+    and the rows of the nodes that kept some of them back."""
     known = partial.join(roots.select(F.col("node").alias("cls"), F.xxhash64("root").alias("root")), "cls", "left")
     rows = known.select("node", "cls", "n", "digits", F.coalesce("root", F.xxhash64("cls")).alias("root"))
-    found = _by_node(rows).mapInArrow(_compare(1 << 60), ROW_SCHEMA).filter("kind = 0").select("a", "b").distinct()
-    return found.join(tried, ["a", "b"], "left_anti")
+    done = materialise(_by_node(rows).mapInArrow(_compare(1 << 60, floor), ROW_SCHEMA), "compared")
+    found = done.filter("kind = 0").select("a", "b").distinct()
+    return found.join(tried, ["a", "b"], "left_anti"), done.filter("kind = 2").select("node", F.col("a").alias("cls"), "n", "digits")
 
 
 def full_sets(pairs: DataFrame, classes: DataFrame, keyed: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -390,9 +400,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     sets = full_sets(pairs, classes, keyed)
     links = confirmed(pairs, sets)
     roots = connected_components(links)
-    if not (more := materialise(more_pairs(partial, roots, pairs), "pairs")).isEmpty():
-        links = links.union(confirmed(more, full_sets(more, classes, keyed, sets)))
-        roots = connected_components(links)
+    for floor in (None, *FLOORS):
+        if partial.isEmpty():
+            break
+        more, partial = more_pairs(partial, roots, pairs, floor)
+        if not (more := materialise(more, "pairs")).isEmpty():
+            sets = full_sets(more, classes, keyed, sets)
+            joined, pairs = confirmed(more, sets), pairs.union(more)
+            if not joined.isEmpty():
+                links = links.union(joined)
+                roots = connected_components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(joined))
     member = classes.select("cls", "least").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     smallest = member.groupBy("root").agg(F.min("least").alias("component_id"))
     degree = links.select(F.col("u").alias("cls")).union(links.select(F.col("v").alias("cls"))).groupBy("cls").agg(F.count("*").alias("class_links"))

@@ -165,6 +165,30 @@ def test_near_duplicates_against_all_pairs(spark, monkeypatch, node_rows):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in out)
 
 
+def two_groups(rng, name, size, first):
+    """Two groups of near copies: all pairs between them are just below 0.8 (56 or 57 edits of 1,001 words), but for the one of the
+    first texts (55 edits)."""
+    base = [f"{name}w{i}" for i in range(1001)]
+    texts = []
+    for group in range(2):
+        for i in range(size):
+            own = rng.sample(range(101, 500), 3 if i == 0 else 4)
+            words = list(base)
+            for k in [*(range(1, 50) if group else ()), *own]:
+                words[2 * k] = f"{name}g{group}" if k < 50 else f"{name}x{group}_{i}"
+                words[2 * k] += f"_{k}"
+            texts.append((first + group * size + i, " ".join(words)))
+    return texts
+
+
+def test_near_duplicates_of_one_link_among_many_candidates(spark):
+    rng = random.Random(5)
+    rows = [x for f in range(4) for x in two_groups(rng, f"f{f}", 60, 1000 * f)]
+    out = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in out} == {i: i // 1000 * 1000 for i, _ in rows}
+    assert {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in out} == set(brute_components(rows))
+
+
 def test_near_duplicates_awkward(spark):
     docs = awkward(spark)
     out = near_duplicates(docs).collect()
