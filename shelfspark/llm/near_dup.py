@@ -6,7 +6,8 @@ of a node choose the same tokens, so classes with similarity s stay together in
 near s or above (the expected number of shared branches at 0.8 is one). Nodes of up to NODE_ROWS classes are compared
 exhaustively on 256 packed minwise digits; larger ones branch again, level by level. After DEEP_LEVELS more levels the
 classes of a node share so many tokens that they are copies of one text; such a node is cut by a hash into blocks, other
-ones in each tree. Nothing is dropped for being frequent, and no node is gathered in a task as a whole.
+ones in each tree, which joins the copies cheaply; after that all its blocks are compared with each other, but for pairs
+within a component. Nothing is dropped for being frequent, and no node is gathered in a task as a whole.
 
 Within a node all pairs are compared but few are sent on: the edges of FORESTS edge-disjoint maximum spanning forests.
 They keep every two classes connected that the node's candidate pairs connect, even where FORESTS - 1 of the edges
@@ -158,11 +159,12 @@ def spanning_edges(i: np.ndarray, j: np.ndarray, weight: np.ndarray, n: int, for
     return np.concatenate(taken) if taken else np.zeros(0, np.int64)
 
 
-def _pairs(node: np.ndarray, n: np.ndarray, digits: np.ndarray, root: np.ndarray | None, floor: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _pairs(node: np.ndarray, n: np.ndarray, digits: np.ndarray, root: np.ndarray | None, part: np.ndarray | None, floor: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Candidate pairs of rows sorted by node and size, and the nodes of which candidates were left out.
 
     A row meets those of its node that have up to a quarter more shingles. With roots, rows of a node that share one
-    count as one vertex, and MORE_FORESTS forests are taken, or with a floor all pairs of that many agreeing digits.
+    count as one vertex, and MORE_FORESTS forests are taken, or with a floor all pairs of that many agreeing digits;
+    rows of a same part, if it isn't negative, don't meet.
     """
     ends = np.append(np.flatnonzero(node[1:] != node[:-1]) + 1, len(node))
     end = np.repeat(ends, np.diff(np.concatenate([[0], ends])))
@@ -173,7 +175,7 @@ def _pairs(node: np.ndarray, n: np.ndarray, digits: np.ndarray, root: np.ndarray
         for k in range(0, len(at), 1 << 16):
             some = at[k : k + (1 << 16)]
             if root is not None:
-                some = some[root[some] != root[some + step]]
+                some = some[(root[some] != root[some + step]) & ((part[some] < 0) | (part[some] != part[some + step]))]
             same = _agreeing(digits[some], digits[some + step])
             if (hit := same >= AGREE).any():
                 found.append((some[hit].astype(np.int32), (some[hit] + step).astype(np.int32), same[hit].astype(np.int16)))
@@ -219,7 +221,8 @@ def _compare(limit: int, floor: int | None = None):
     def pairs_of(t: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         node, n = np.asarray(t.column("node")), np.asarray(t.column("n"))
         root = np.asarray(t.column("root")) if "root" in t.schema.names else None
-        i, j, cut = _pairs(node, n, matrix(t.column("digits"), DIGITS // 2, U), root, floor)
+        part = np.asarray(t.column("part")) if root is not None else None
+        i, j, cut = _pairs(node, n, matrix(t.column("digits"), DIGITS // 2, U), root, part, floor)
         cls = matrix(t.column("cls"), 16, ">u8")
         for k in range(0, len(i), BATCH_PAIRS):
             a, b = cls[i[k : k + BATCH_PAIRS]], cls[j[k : k + BATCH_PAIRS]]
@@ -319,13 +322,14 @@ def _by_node(rows: DataFrame) -> DataFrame:
 
 def candidate_pairs(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """classes(cls, n, digits, nodes) -> distinct (a, b), a < b, that some node of some tree sends on; and the rows
-    (node, cls, n, digits) of the nodes that sent on a part of their candidates only."""
+    (node, cls, n, digits) of the nodes that sent on a part of their candidates only or were cut into blocks."""
     spark = classes.sparkSession
     rows = classes.select(F.explode("nodes").alias("node"), "cls", "n", "digits")
     pairs, partial = [], []
     for level in range(DEEP_LEVELS + 2):
         blocks = level == DEEP_LEVELS + 1
         if blocks:
+            partial.append(rows.select("node", "cls", "n", "digits"))
             size = rows.groupBy("node").agg(F.count("*").alias("rows"))
             rows = rows.join(size, "node").select(F.xxhash64("node", F.pmod(F.xxhash64("cls", "node"), F.ceil(F.col("rows") / BLOCK_ROWS))).alias("node"), "cls", "n", "digits")
             ready, huge = rows, None
@@ -338,9 +342,9 @@ def candidate_pairs(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
             ready, huge = rows.join(hot, "node", "left_anti"), rows.join(hot, "node", "left_semi")
         done = materialise(_by_node(ready).mapInArrow(_compare(1 << 60 if blocks else NODE_ROWS), ROW_SCHEMA), "compared")
         pairs.append(done.filter("kind = 0").select("a", "b"))
-        partial.append(done.filter("kind = 2").select("node", F.col("a").alias("cls"), "n", "digits"))
         if blocks:
             break
+        partial.append(done.filter("kind = 2").select("node", F.col("a").alias("cls"), "n", "digits"))
         rest = done.filter("kind = 1").select("node", F.col("a").alias("cls"), "n", "digits").unionByName(huge.select("node", "cls", "n", "digits"))
         if rest.isEmpty():
             break
@@ -348,12 +352,38 @@ def candidate_pairs(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return reduce(DataFrame.union, pairs).distinct(), reduce(DataFrame.union, partial)
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """rows(node, cls, n, digits, root) with their part, without nodes of a single root; a node of more than NODE_ROWS rows becomes one
+    node for each two of its blocks. A root with many rows has blocks of its own, which don't meet each other."""
+    block = max(BLOCK_ROWS, NODE_ROWS // 2)
+    groups = rows.groupBy("node", "root").agg(F.count("*").alias("rows"))
+    sizes = materialise(groups.groupBy("node").agg(F.sum("rows").alias("all"), F.count("*").alias("roots")).filter("roots > 1").select("node", "all"), "sizes")
+    whole = rows.join(sizes.filter(F.col("all") <= NODE_ROWS).select("node"), "node", "left_semi").withColumn("part", F.lit(-1))
+    large = sizes.filter(F.col("all") > NODE_ROWS).select("node")
+    if large.isEmpty():
+        return whole
+    alone = F.col("rows") >= block
+    groups = groups.join(large, "node", "left_semi").select("node", "root", "rows", alone.alias("alone"), F.when(alone, F.col("root")).otherwise(F.lit(0)).alias("set"))
+    groups = materialise(groups, "groups")
+    counts = groups.groupBy("node", "alone", "set").agg(F.ceil(F.sum("rows") / block).alias("blocks"))
+    blocks = materialise(counts.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))), "blocks")
+    at = F.struct("alone", "set", "block")
+    x, y = blocks.select("node", at.alias("x")), blocks.select("node", at.alias("y"))
+    tasks = x.join(y, "node").filter((F.col("x") <= F.col("y")) & ~(F.col("x.alone") & F.col("y.alone") & (F.col("x.set") == F.col("y.set"))))
+    within = F.col("x") == F.col("y")
+    sides = F.when(within, F.array(F.struct(F.lit(-1).alias("part"), F.col("x").alias("at")))).otherwise(F.array(*(F.struct(F.lit(k).alias("part"), F.col(c).alias("at")) for k, c in enumerate("xy"))))
+    sides = tasks.select("node", F.xxhash64("node", "x", "y").alias("task"), F.explode(sides).alias("side")).select("node", "task", "side.part", "side.at.alone", "side.at.set", "side.at.block")
+    found = rows.join(groups.select("node", "root", "alone", "set"), ["node", "root"]).join(counts, ["node", "alone", "set"]).withColumn("block", F.pmod(F.xxhash64("cls", "node"), F.col("blocks")))
+    cut = found.join(sides, ["node", "alone", "set", "block"]).select(F.col("task").alias("node"), "cls", "n", "digits", "root", "part")
+    return whole.select(*cut.columns).union(cut)
+
+
 def more_pairs(partial: DataFrame, roots: DataFrame, tried: DataFrame, floor: int | None) -> tuple[DataFrame, DataFrame]:
     """The candidates of partial's nodes between classes that no confirmed link has joined so far, without those that were tried;
     and the rows of the nodes that kept some of them back."""
     known = partial.join(roots.select(F.col("node").alias("cls"), F.xxhash64("root").alias("root")), "cls", "left")
     rows = known.select("node", "cls", "n", "digits", F.coalesce("root", F.xxhash64("cls")).alias("root"))
-    done = materialise(_by_node(rows).mapInArrow(_compare(1 << 60, floor), ROW_SCHEMA), "compared")
+    done = materialise(_by_node(_dealt(rows)).mapInArrow(_compare(1 << 60, floor), ROW_SCHEMA), "compared")
     found = done.filter("kind = 0").select("a", "b").distinct()
     return found.join(tried, ["a", "b"], "left_anti"), done.filter("kind = 2").select("node", F.col("a").alias("cls"), "n", "digits")
 

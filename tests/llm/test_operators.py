@@ -189,6 +189,15 @@ def test_near_duplicates_of_one_link_among_many_candidates(spark):
     assert {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in out} == set(brute_components(rows))
 
 
+def test_near_duplicates_across_the_blocks_of_large_nodes(spark, monkeypatch):
+    monkeypatch.setattr("shelfspark.llm.near_dup.NODE_ROWS", 4)
+    monkeypatch.setattr("shelfspark.llm.near_dup.BLOCK_ROWS", 1)
+    rng = random.Random(5)
+    rows = [x for f in range(8) for x in two_groups(rng, f"f{f}", 24, 1000 * f)]
+    out = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in out} == {i: i // 1000 * 1000 for i, _ in rows}
+
+
 def test_near_duplicates_awkward(spark):
     docs = awkward(spark)
     out = near_duplicates(docs).collect()
