@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,14 +28,35 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_local_dirs[sc.applicationId]}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it again: lineage ends there, so a lost executor costs only tasks of the current job."""
+_scratch: list[list[str]] = []
+
+
+def materialise(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """Write df as Parquet in the shared folder and read it again: lineage ends there, so a lost executor costs only tasks of the current job.
+
+    Inside of `scratch` the table is deleted at its end, unless it is to be kept for a result that is read later.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _scratch and not keep:
+        _scratch[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what materialise wrote in between and nobody reads any more."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for name in _scratch.pop():
+            path = hadoop.Path(name)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def hide(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """df with its columns renamed to names that no operator uses, and the new name of each; pruning still reaches the scan."""
     names = {c: f"__in{i}" for i, c in enumerate(df.columns)}

@@ -12,10 +12,12 @@ within a component. Nothing is dropped for being frequent, and no node is gather
 Within a node all pairs are compared but few are sent on: the edges of FORESTS edge-disjoint maximum spanning forests.
 They keep every two classes connected that the node's candidate pairs connect, even where FORESTS - 1 of the edges
 between them fail the confirmation, so a group of n copies costs n pairs, not n * n. Candidates are confirmed on
-their full sets, and components are taken over the confirmed links. Nodes that kept candidates back are then compared again with
-the classes of a component as one vertex: MORE_FORESTS forests of what is not joined yet go to confirmation. Nodes that still keep
-some back send all candidates between components, those of FLOORS[0] digits or more first, until none is kept back: in the end each
-candidate pair was confirmed, failed on its full sets, or lies within a component.
+their full sets, and components are taken over the confirmed links.
+
+Rows of candidates that were kept back then meet once more, node by node, with their full sets and the component that each
+belongs to so far: every candidate pair between two components is confirmed there, inside the task, and a spanning forest
+of the links that hold is sent on. So each candidate pair was confirmed, failed on its full sets, or lies within a
+component, and no table has a row for each pair: rows grow with the documents, whatever the size of a family is.
 
 At similarity 0.8 exactly, a pair is missed by one tree with probability 0.27 (0.36 two levels deeper), by all
 TREES = 12 with 2e-7 (5e-6); the digit filter misses it with 3e-6. Similar pairs above 0.8 are missed less often.
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.llm.common import materialise, shuffle_partitions
+from shelfspark.llm.common import materialise, scratch, shuffle_partitions
 from shelfspark.llm.components import connected_components
 from shelfspark.llm.textbytes import U, binary_column, matrix, mix, ragged_binary, shingle_sets, text_chunks
 
@@ -40,16 +42,18 @@ TOKENS_A_TREE = 8
 DIGITS = 256
 #: Of the 256 digits of two classes with similarity 0.8, 208 are expected to agree (deviation 6.2).
 AGREE = 180
+#: A node's weight is its number of classes, each counted once more for every WEIGHT_SHINGLES shingles, so that it bounds memory.
 NODE_ROWS = 2500
+WEIGHT_SHINGLES = 1024
 DEEP_LEVELS = 3
 BLOCK_ROWS = 500
 PORTION_PAIRS = 1_000_000
 #: Rows of 40 bytes.
 BROADCAST_ROWS = 250_000
 FORESTS = 3
-MORE_FORESTS = 16
-#: After the forests, all candidates between components, from so many agreeing digits on; the last floor leaves none out.
-FLOORS = (200, AGREE)
+#: Shingles that are looked at together when the sets of a node are compared.
+TILE = 8192
+PAIRS_AT_ONCE = 1 << 14
 BATCH_PAIRS = 100_000
 NONE = (1 << 32) - 1
 
@@ -159,12 +163,11 @@ def spanning_edges(i: np.ndarray, j: np.ndarray, weight: np.ndarray, n: int, for
     return np.concatenate(taken) if taken else np.zeros(0, np.int64)
 
 
-def _pairs(node: np.ndarray, n: np.ndarray, digits: np.ndarray, root: np.ndarray | None, part: np.ndarray | None, floor: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Candidate pairs of rows sorted by node and size, and the nodes of which candidates were left out.
+def _candidates(node: np.ndarray, n: np.ndarray, digits: np.ndarray, root: np.ndarray | None = None, part: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows, sorted by node and size, that share a node and AGREE digits or more, with the number of these digits.
 
-    A row meets those of its node that have up to a quarter more shingles. With roots, rows of a node that share one
-    count as one vertex, and MORE_FORESTS forests are taken, or with a floor all pairs of that many agreeing digits;
-    rows of a same part, if it isn't negative, don't meet.
+    A row meets those of its node that have up to a quarter more shingles. Rows that share a root don't meet, nor do
+    rows of a same part, if it isn't negative.
     """
     ends = np.append(np.flatnonzero(node[1:] != node[:-1]) + 1, len(node))
     end = np.repeat(ends, np.diff(np.concatenate([[0], ends])))
@@ -182,26 +185,58 @@ def _pairs(node: np.ndarray, n: np.ndarray, digits: np.ndarray, root: np.ndarray
         step += 1
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    i, j, same = (np.concatenate(x) for x in zip(*found, strict=True))
-    if root is None:
-        keep = spanning_edges(i, j, same, len(node), FORESTS)
-    elif floor is not None:
-        keep = np.flatnonzero(same >= floor)
-    else:
-        vertex = np.unique(mix(node.view(U)) ^ mix(root.view(U) + U(1)), return_inverse=True)[1]
-        keep = spanning_edges(vertex[i], vertex[j], same, int(vertex.max()) + 1, MORE_FORESTS)
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _pairs(node: np.ndarray, n: np.ndarray, digits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The candidate pairs of FORESTS spanning forests, and the rows of the pairs that are left out."""
+    i, j, same = _candidates(node, n, digits)
+    keep = spanning_edges(i, j, same, len(node), FORESTS)
     left = np.ones(len(i), bool)
     left[keep] = False
-    return i[keep], j[keep], np.unique(node[i[left]])
+    return i[keep], j[keep], np.unique(np.concatenate([i[left], j[left]]))
+
+
+def shared_counts(values: np.ndarray, off: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """How many values the sets i and j share, pair by pair; set k has the distinct values from off[k] to off[k + 1].
+
+    Values that several sets have become bits, TILE of them at a time in the order of the sets, so memory is bounded by
+    the number of sets and of pairs.
+    """
+    shared = np.zeros(len(i), np.int64)
+    if not len(i):
+        return shared
+    used, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+    i, j = at[: len(i)], at[len(i) :]
+    size = np.diff(off)[used]
+    owner = np.repeat(np.arange(len(used)), size)
+    inside = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
+    _, first, which, count = np.unique(values[np.repeat(off[:-1][used], size) + inside], return_index=True, return_inverse=True, return_counts=True)
+    common = np.flatnonzero(count > 1)
+    place = np.full(len(count), -1)
+    place[common[np.argsort(first[common])]] = np.arange(len(common))
+    place = place[which]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    for lo in range(0, len(common), TILE):
+        a, b = np.searchsorted(place, [lo, lo + TILE])
+        dense = np.zeros((len(used), TILE), bool)
+        dense[owner[a:b], place[a:b] - lo] = True
+        bits, there = np.packbits(dense, axis=1).view(U), dense.any(1)
+        both = np.flatnonzero(there[i] & there[j])
+        for k in range(0, len(both), PAIRS_AT_ONCE):
+            some = both[k : k + PAIRS_AT_ONCE]
+            shared[some] += np.bitwise_count(bits[i[some]] & bits[j[some]]).sum(1, dtype=np.int64)
+    return shared
 
 
 def _portions(node: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Stretches of whole nodes with up to PORTION_PAIRS pairs, or one node."""
+    """Stretches of whole nodes with up to PORTION_PAIRS pairs and 2 * NODE_ROWS rows, or one node."""
     ends = np.append(np.flatnonzero(node[1:] != node[:-1]) + 1, len(node))
     first, pairs, last = 0, 0, 0
     for end in ends.tolist():
         size = end - last
-        if pairs and pairs + size * size // 2 > PORTION_PAIRS:
+        if last > first and (pairs + size * size // 2 > PORTION_PAIRS or end - first > 2 * NODE_ROWS):
             yield first, last
             first, pairs = last, 0
         pairs += size * size // 2
@@ -209,8 +244,15 @@ def _portions(node: np.ndarray) -> Iterator[tuple[int, int]]:
     yield first, last
 
 
-def _compare(limit: int, floor: int | None = None):
-    """Rows sorted by node -> pairs (kind 0) of nodes with up to limit rows, the rows (kind 1) of larger ones, and those (kind 2) of nodes that sent on a part of their pairs."""
+def _ordered(a: np.ndarray, b: np.ndarray) -> list[pa.Array]:
+    """Two columns of class ids (big-endian words), the smaller one of each pair first."""
+    swap = (a[:, 0] > b[:, 0]) | ((a[:, 0] == b[:, 0]) & (a[:, 1] > b[:, 1]))
+    a[swap], b[swap] = b[swap], a[swap]
+    return [binary_column(x.astype(">u8").view(np.uint8).reshape(-1, 16)) for x in (a, b)]
+
+
+def _compare(limit: int):
+    """Rows sorted by node -> pairs (kind 0) of nodes with up to limit rows, the rows (kind 1) of larger ones, and those (kind 2) of pairs that were kept back."""
 
     def records(kind: int, a, b, node, n, digits) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), a, b, node, n, digits], names=["kind", "a", "b", "node", "n", "digits"])
@@ -220,18 +262,14 @@ def _compare(limit: int, floor: int | None = None):
 
     def pairs_of(t: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         node, n = np.asarray(t.column("node")), np.asarray(t.column("n"))
-        root = np.asarray(t.column("root")) if "root" in t.schema.names else None
-        part = np.asarray(t.column("part")) if root is not None else None
-        i, j, cut = _pairs(node, n, matrix(t.column("digits"), DIGITS // 2, U), root, part, floor)
+        i, j, cut = _pairs(node, n, matrix(t.column("digits"), DIGITS // 2, U))
         cls = matrix(t.column("cls"), 16, ">u8")
         for k in range(0, len(i), BATCH_PAIRS):
-            a, b = cls[i[k : k + BATCH_PAIRS]], cls[j[k : k + BATCH_PAIRS]]
-            swap = (a[:, 0] > b[:, 0]) | ((a[:, 0] == b[:, 0]) & (a[:, 1] > b[:, 1]))
-            a[swap], b[swap] = b[swap], a[swap]
-            ids = [binary_column(x.astype(">u8").view(np.uint8).reshape(-1, 16)) for x in (a, b)]
-            yield records(0, *ids, pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.binary()))
+            ids = _ordered(cls[i[k : k + BATCH_PAIRS]], cls[j[k : k + BATCH_PAIRS]])
+            m = len(ids[0])
+            yield records(0, *ids, pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()))
         if len(cut):
-            yield rows_of(t.filter(pa.array(np.isin(node, cut))), 2)
+            yield rows_of(t.take(pa.array(cut)), 2)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carried: pa.RecordBatch | None = None
@@ -293,6 +331,46 @@ def _branch(level: int):
     return step
 
 
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with full sets, roots and parts, sorted by node -> (u, v): a spanning forest of each node's links between roots.
+
+    A node is at most NODE_ROWS of weight, and whole nodes are all that is held at a time.
+    """
+
+    def links(t: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        node, n, root, part = (np.asarray(t.column(c)) for c in ("node", "n", "root", "part"))
+        i, j, same = _candidates(node, n, matrix(t.column("digits"), DIGITS // 2, U), root, part)
+        if not len(i):
+            return
+        grams = t.column("grams").cast(pa.large_binary())
+        off = np.frombuffer(grams.buffers()[1], np.int64)[grams.offset : grams.offset + len(t) + 1]
+        values = np.frombuffer(grams.buffers()[2], np.uint8)[off[0] : off[-1]].view(U)
+        off = (off - off[0]) // 8
+        shared, size = shared_counts(values, off, i, j), np.diff(off)
+        good = np.flatnonzero(100 * shared >= 80 * (size[i] + size[j] - shared))
+        i, j, same = i[good], j[good], same[good]
+        vertex = np.unique(mix(node.view(U)) ^ mix(root.view(U) + U(1)), return_inverse=True)[1]
+        keep = spanning_edges(vertex[i], vertex[j], same, int(vertex.max()) + 1, 1)
+        cls = matrix(t.column("cls"), 16, ">u8")
+        yield pa.RecordBatch.from_arrays(_ordered(cls[i[keep]], cls[j[keep]]), names=["u", "v"])
+
+    def whole(t: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for a, b in _portions(np.asarray(t.column("node"))):
+            yield from links(t.slice(a, b - a))
+
+    carried: pa.RecordBatch | None = None
+    for batch in batches:
+        t = pa.concat_batches([carried, batch]) if carried is not None else batch
+        if len(t):
+            node = np.asarray(t.column("node"))
+            start = int(np.searchsorted(node[::-1] != node[-1], True))
+            carried = t.slice(len(t) - start)
+            if start < len(t):
+                yield from whole(t.slice(0, len(t) - start))
+    if carried is not None:
+        yield from whole(carried)
+
+
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The full sets of the texts whose class is the wanted one (a repeated doc_id may bring others)."""
     for batch in batches:
@@ -322,7 +400,7 @@ def _by_node(rows: DataFrame) -> DataFrame:
 
 def candidate_pairs(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """classes(cls, n, digits, nodes) -> distinct (a, b), a < b, that some node of some tree sends on; and the rows
-    (node, cls, n, digits) of the nodes that sent on a part of their candidates only or were cut into blocks."""
+    (node, cls, n, digits) of candidates that were kept back, or of nodes that were cut into blocks."""
     spark = classes.sparkSession
     rows = classes.select(F.explode("nodes").alias("node"), "cls", "n", "digits")
     pairs, partial = [], []
@@ -353,10 +431,10 @@ def candidate_pairs(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
-    """rows(node, cls, n, digits, root) with their part, without nodes of a single root; a node of more than NODE_ROWS rows becomes one
+    """rows(node, cls, n, digits, root) with their part, without nodes of a single root; a node of more than NODE_ROWS of weight becomes one
     node for each two of its blocks. A root with many rows has blocks of its own, which don't meet each other."""
     block = max(BLOCK_ROWS, NODE_ROWS // 2)
-    groups = rows.groupBy("node", "root").agg(F.count("*").alias("rows"))
+    groups = rows.groupBy("node", "root").agg(F.sum(1 + F.floor(F.col("n") / WEIGHT_SHINGLES)).alias("rows"))
     sizes = materialise(groups.groupBy("node").agg(F.sum("rows").alias("all"), F.count("*").alias("roots")).filter("roots > 1").select("node", "all"), "sizes")
     whole = rows.join(sizes.filter(F.col("all") <= NODE_ROWS).select("node"), "node", "left_semi").withColumn("part", F.lit(-1))
     large = sizes.filter(F.col("all") > NODE_ROWS).select("node")
@@ -378,31 +456,26 @@ def _dealt(rows: DataFrame) -> DataFrame:
     return whole.select(*cut.columns).union(cut)
 
 
-def more_pairs(partial: DataFrame, roots: DataFrame, tried: DataFrame, floor: int | None) -> tuple[DataFrame, DataFrame]:
-    """The candidates of partial's nodes between classes that no confirmed link has joined so far, without those that were tried;
-    and the rows of the nodes that kept some of them back."""
+def settled(partial: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+    """(u, v): links between classes of partial's nodes that no confirmed link has joined so far, so many that all links among
+    these nodes are joined then. Each row is sent with its full set; copies, which have a root in common, don't meet again."""
     known = partial.join(roots.select(F.col("node").alias("cls"), F.xxhash64("root").alias("root")), "cls", "left")
-    rows = known.select("node", "cls", "n", "digits", F.coalesce("root", F.xxhash64("cls")).alias("root"))
-    done = materialise(_by_node(_dealt(rows)).mapInArrow(_compare(1 << 60, floor), ROW_SCHEMA), "compared")
-    found = done.filter("kind = 0").select("a", "b").distinct()
-    return found.join(tried, ["a", "b"], "left_anti"), done.filter("kind = 2").select("node", F.col("a").alias("cls"), "n", "digits")
-
-
-def full_sets(pairs: DataFrame, classes: DataFrame, keyed: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """(cls, grams) for every class of pairs(a, b), built from the texts of keyed(key, text); known has those that are there already."""
-    ends = pairs.select(F.col("a").alias("want")).union(pairs.select(F.col("b").alias("want"))).distinct()
-    if known is not None:
-        ends = ends.join(known.select(F.col("cls").alias("want")), "want", "left_anti")
-    wanted = materialise(ends.join(classes.select(F.col("cls").alias("want"), "key"), "want"), "wanted")
+    rows = materialise(known.select("node", "cls", "n", "digits", F.coalesce("root", F.xxhash64("cls")).alias("root")), "partial")
+    return materialise(_by_node(_dealt(rows).join(sets, "cls")).mapInArrow(_settle, "u binary, v binary"), "links")
+
+
+def full_sets(wanted: DataFrame, classes: DataFrame, keyed: DataFrame) -> DataFrame:
+    """(cls, grams) for every class of wanted(cls), built from the texts of keyed(key, text)."""
+    wanted = materialise(wanted.select(F.col("cls").alias("want")).distinct().join(classes.select(F.col("cls").alias("want"), "key"), "want"), "wanted")
     # few wanted texts are picked where they lie; for many, texts are shuffled once
     small = wanted.count() <= BROADCAST_ROWS
     found = keyed.select("key", "text").join(F.broadcast(wanted) if small else wanted, "key")
-    sets = materialise(found.mapInArrow(_full_sets, "cls binary, grams binary").groupBy("cls").agg(F.min("grams").alias("grams")), "sets")
-    return sets if known is None else known.union(sets)
+    return materialise(found.mapInArrow(_full_sets, "cls binary, grams binary").groupBy("cls").agg(F.min("grams").alias("grams")), "sets")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of pairs(a, b) whose full sets are similar enough, as (u, v)."""
+    """Those of pairs(a, b) whose full sets are similar enough, as (u, v). The hub of a star of copies is sent with each of them, so
+    what is shuffled follows the size of the copies; a join on a hub is one that Spark may split."""
     both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("grams").alias("ga")), "a").join(sets.select(F.col("cls").alias("b"), F.col("grams").alias("gb")), "b")
     return materialise(both.select(F.col("a").alias("u"), F.col("b").alias("v"), "ga", "gb").mapInArrow(_confirm, "u binary, v binary"), "links")
 
@@ -421,29 +494,24 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     """
     given = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     keyed = given.withColumn("key", F.coalesce("doc_id", F.xxhash64("text")))
-    sketched = materialise(keyed.mapInArrow(_sketch, SKETCH_SCHEMA), "sketches")
-    whole = sketched.filter("n > 0")
-    classes = whole.groupBy("cls").agg(F.min("doc_id").alias("least"), F.min(F.struct("key", "n", "digits", "nodes")).alias("x")).select("cls", "least", "x.*")
-    classes = materialise(classes, "classes")
-    pairs, partial = candidate_pairs(classes.select("cls", "n", "digits", "nodes"))
-    pairs = materialise(pairs, "pairs")
-    sets = full_sets(pairs, classes, keyed)
-    links = confirmed(pairs, sets)
-    roots = connected_components(links)
-    for floor in (None, *FLOORS):
-        if partial.isEmpty():
-            break
-        more, partial = more_pairs(partial, roots, pairs, floor)
-        if not (more := materialise(more, "pairs")).isEmpty():
-            sets = full_sets(more, classes, keyed, sets)
-            joined, pairs = confirmed(more, sets), pairs.union(more)
-            if not joined.isEmpty():
-                links = links.union(joined)
-                roots = connected_components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(joined))
-    member = classes.select("cls", "least").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    smallest = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    degree = links.select(F.col("u").alias("cls")).union(links.select(F.col("v").alias("cls"))).groupBy("cls").agg(F.count("*").alias("class_links"))
-    label = materialise(member.join(smallest, "root").join(degree, "cls", "left").select("cls", "component_id", "class_links"), "labels")
+    sketched = materialise(keyed.mapInArrow(_sketch, SKETCH_SCHEMA), "sketches", keep=True)
+    with scratch(docs.sparkSession):
+        whole = sketched.filter("n > 0")
+        classes = whole.groupBy("cls").agg(F.min("doc_id").alias("least"), F.min(F.struct("key", "n", "digits", "nodes")).alias("x")).select("cls", "least", "x.*")
+        classes = materialise(classes, "classes")
+        pairs, partial = candidate_pairs(classes.select("cls", "n", "digits", "nodes"))
+        pairs = materialise(pairs, "pairs")
+        ends = [pairs.select(F.col(c).alias("cls")) for c in "ab"]
+        sets = full_sets(reduce(DataFrame.union, [*ends, partial.select("cls")]), classes, keyed)
+        links = confirmed(pairs, sets)
+        roots = connected_components(links)
+        if not partial.isEmpty():
+            links = links.union(settled(partial, roots, sets))
+            roots = connected_components(links)
+        member = classes.select("cls", "least").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+        smallest = member.groupBy("root").agg(F.min("least").alias("component_id"))
+        degree = links.select(F.col("u").alias("cls")).union(links.select(F.col("v").alias("cls"))).groupBy("cls").agg(F.count("*").alias("class_links"))
+        label = materialise(member.join(smallest, "root").join(degree, "cls", "left").select("cls", "component_id", "class_links"), "labels", keep=True)
     out = sketched.select("doc_id", "n", F.when(F.col("n") > 0, F.col("cls")).alias("cls")).join(label, "cls", "left")
     return out.select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),

@@ -227,9 +227,24 @@ def test_spanning_edges_keep_parts_connected():
     assert len(spanning_edges(i, j, w, 40, 3)) > len(kept)
 
 
-def test_components(spark):
+def test_shared_counts(monkeypatch):
+    import numpy as np
+
+    from shelfspark.llm import near_dup
+
+    monkeypatch.setattr(near_dup, "TILE", 64)
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 900, n).astype(np.uint64) << np.uint64(40)) for n in (1, 700, 0, 300, 300, 20, 500)]
+    i, j = np.array([0, 1, 1, 2, 3, 1, 6, 5]), np.array([1, 3, 4, 3, 4, 6, 5, 0])
+    got = near_dup.shared_counts(np.concatenate(sets), np.cumsum([0, *map(len, sets)]), i, j)
+    assert got.tolist() == [len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j, strict=True)]
+    assert near_dup.shared_counts(np.concatenate(sets), np.cumsum([0, *map(len, sets)]), i[:0], j[:0]).tolist() == []
+
+
+@pytest.mark.parametrize("links_a_task", [500_000, 7])
+def test_components(spark, links_a_task):
     links = [(1, 2), (2, 3), (9, 8), (8, 7), (5, 5), (3, 4), (4, 10)] + [(100 + i, 101 + i) for i in range(30)]
-    got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(links, "u long, v long")).collect()}
+    got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(links, "u long, v long"), links_a_task=links_a_task).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 1, 10: 1, 7: 7, 8: 7, 9: 7} | {100 + i: 100 for i in range(31)}
 
 
