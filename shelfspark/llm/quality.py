@@ -31,18 +31,29 @@ def log_count_ratios(rows: list[np.ndarray], y: np.ndarray, smooth: float = 1.0)
     return np.log(share[1] / share[0])
 
 
-def dual_coordinate_descent(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, cost: float = 1.0, epochs: int = 12, seed: int = 7) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise half their square plus the hinge losses; classes cost the same in total."""
+def row_scales(rows: list[np.ndarray], ratio: np.ndarray) -> np.ndarray:
+    """What brings each row of indicators, scaled by ratio, to length one."""
+    square = ratio * ratio
+    return 1 / np.sqrt(np.maximum(np.array([square[x].sum() for x in rows]), 1e-12))
+
+
+def dual_coordinate_descent(rows: list[np.ndarray], ratio: np.ndarray, y: np.ndarray, cost: float = 1.0, epochs: int = 12, seed: int = 7) -> tuple[np.ndarray, float]:
+    """Weights and bias that minimise half their square plus the hinge losses; classes cost the same in total.
+
+    Row i has the value ratio[x] at its places x, scaled to length one; values are made from the places when they are needed.
+    """
     sign = np.where(y == 1, 1.0, -1.0)
     share = np.bincount(y, minlength=2) / len(y)
     top = np.where(y == 1, cost * 0.5 / max(share[1], 1e-9), cost * 0.5 / max(share[0], 1e-9))
     w, bias, alpha = np.zeros(DIMS), 0.0, np.zeros(len(y))
-    square = np.array([float(v @ v) + 1.0 for v in values])
+    scale, squares = row_scales(rows, ratio), ratio * ratio
+    square = np.array([squares[x].sum() * z * z + 1.0 for x, z in zip(rows, scale, strict=True)])
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         moved = 0.0
         for i in rng.permutation(len(y)):
-            x, v = rows[i], values[i]
+            x = rows[i]
+            v = ratio[x] * scale[i]
             slope = sign[i] * (float(w[x] @ v) + bias) - 1.0
             new = min(max(alpha[i] - slope / square[i], 0.0), top[i])
             if (step := (new - alpha[i]) * sign[i]) != 0.0:
@@ -90,8 +101,7 @@ class Model:
 
 def _fit(rows: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     ratio = log_count_ratios(rows, y)
-    values = [ratio[x] / max(np.sqrt((ratio[x] ** 2).sum()), 1e-6) for x in rows]
-    w, bias = dual_coordinate_descent(rows, values, y)
+    w, bias = dual_coordinate_descent(rows, ratio, y)
     return w * ratio, ratio * ratio, bias
 
 
@@ -120,9 +130,13 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality", sample: int = SAMPLE) -> Model:
     """Fitted on about `sample` labelled documents of each class at most, in the order of a hash of their ids."""
     found = labelled_sample(docs, labels, text, doc_id, label, sample).select(F.col("doc_id").cast("string").alias("doc_id"), "y", "text").mapInArrow(_features, "doc_id string, y int, x binary").toArrow()
-    order = np.lexsort((np.array(found["doc_id"].to_pylist(), dtype=object).astype(str), np.array([hash_of(x) for x in found["doc_id"].to_pylist()]))) if len(found) else np.zeros(0, int)
-    x, y = found["x"].to_pylist(), np.array(found["y"].to_pylist(), int)
-    return fit_model([np.frombuffer(x[i], np.uint32).astype(np.int64) for i in order], y[order])
+    ids, y = found["doc_id"].to_pylist(), np.asarray(found["y"].combine_chunks().to_numpy(zero_copy_only=False), int)
+    order = sorted(range(len(ids)), key=lambda i: (hash_of(ids[i]), ids[i]))
+    # one flat array of places, of which the rows are views
+    flat = found["x"].cast(pa.large_binary()).combine_chunks()
+    off = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset : flat.offset + len(flat) + 1] // 4 if len(flat) else np.zeros(1, np.int64)
+    places = np.frombuffer(flat.buffers()[2], np.uint32) if len(flat) and flat.buffers()[2] is not None else np.zeros(0, np.uint32)
+    return fit_model([places[off[i] : off[i + 1]] for i in order], y[order])
 
 
 def hash_of(value: str) -> int:
