@@ -1,29 +1,40 @@
 """Benchmark decontamination by winnowing: minimum k-gram hashes per window, a join of fingerprints, extension of hits.
 
-A shared span of `window` words holds window - k + 1 consecutive k-grams on both sides, and both sides keep the k-grams
-whose hash is the least of such a stretch, so it shares a kept fingerprint. Every hit is extended: all spans of
-`window` words around it are looked up by their hash and compared word by word.
-
-The benchmark goes to the tasks in blocks of at most BLOCK_BYTES of text, one after another, so its size is bounded by
-nothing; documents are never shuffled. Items shorter than a window are one window themselves and are looked up at
-every position, by the hash of their first words.
+A shared span of `window` words holds window - k + 1 consecutive k-grams on both sides, and both sides keep the k-gram
+whose hash is the least of such a stretch, so every shared span shares a kept fingerprint. Items shorter than a window are
+one window themselves; their fingerprint is the hash of all their words.
+
+1. Items become a table of windows with their fingerprints. Two bitmaps of bounded size tell which fingerprints and
+   which windows may be among them; nothing else of the benchmark goes through the driver.
+2. Documents, in one pass and without a shuffle, keep the fingerprints that may be shared, extend each to the windows around
+   it, and yield runs: stretches covered by windows that may be shared. Bits that agree by chance only cost rows.
+3. Equal runs are one row from here on, so a passage that many documents share is looked up once. Windows of
+   runs are joined with those of items on the fingerprint, and a hit stands where all words agree (by two 64-bit hashes).
+4. Hits go back to the documents with the run. Texts, not rows, are judged: copies share a verdict.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from shelfspark.llm.textbytes import ALNUM, U, hash_words, kgrams, text_chunks, words
+from shelfspark.llm.common import materialise, scratch
+from shelfspark.llm.textbytes import ALNUM, U, hash_words, kgrams, mix, text_chunks, words
 
 K = 5
 WINDOW = 13
-BLOCK_BYTES = 32 << 20
-TOP = np.iinfo(np.uint64).max
+#: Bits for each window of the benchmark, and the most that a bitmap has (16 MB); with more windows, more bits agree by chance.
+BITS_A_WINDOW = 32
+MOST_BITS = 1 << 27
+#: Verdicts up to this size are broadcast, larger ones are joined by a shuffle.
+BROADCAST_BYTES = 8 << 20
+CHECK = U(0x6A09E667F3BCC909)
 
 
 def _sliding(x: np.ndarray, w: int, f) -> np.ndarray:
@@ -45,119 +56,134 @@ def fingerprints(grams: np.ndarray, w: int) -> np.ndarray:
     return np.flatnonzero(grams == _sliding(padded, w, np.maximum))
 
 
-class Index:
-    """The windows of a block of items: fingerprints, hashes of windows, and their words."""
+def _bitmap(values: DataFrame, bits: int) -> np.ndarray:
+    """A bit for the low bits of each value(x); Spark builds it in pieces of 4 KB."""
+    place = F.col("x").bitwiseAND(F.lit(bits - 1)) + 1
+    pieces = values.groupBy(F.bitmap_bucket_number(place).alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    out = np.zeros(bits // 8, np.uint8)
+    for r in pieces.toLocalIterator():
+        out[(r["piece"] - 1) * 4096 : r["piece"] * 4096] = np.frombuffer(r["bits"], np.uint8)
+    return out
 
-    def __init__(self, items: list[tuple[str | None, str | None]], k: int, window: int):
-        self.k, self.window = k, window
-        self.texts: list[list[bytes]] = []
-        where: dict[bytes, int] = {}
-        self.items: list[set[str]] = []
-        marks: set[int] = set()
-        by_len: dict[int, dict[int, list[int]]] = {}
-        for item, text in items:
-            for _, _, buf, off in text_chunks(pa.array([text], pa.string())):
-                s, ln, _ = words(buf, off, ALNUM)
-                if not len(s):
-                    continue
-                h = hash_words(buf, s, ln)
-                each = [buf[a : a + b].tobytes() for a, b in zip(s.tolist(), ln.tolist(), strict=True)]
-                size = min(window, len(each))
-                for at, key in enumerate(kgrams(h, size).tolist()):
-                    span = b" ".join(each[at : at + size])
-                    if span not in where:
-                        where[span] = len(self.items)
-                        self.items.append(set())
-                        self.texts.append(each[at : at + size])
-                        by_len.setdefault(size, {}).setdefault(key, []).append(where[span])
-                    if item is not None:
-                        self.items[where[span]].add(item)
-                if size == window:
-                    grams = kgrams(h, k)
-                    marks |= set(grams[fingerprints(grams, window - k + 1)].tolist())
-        self.marks = np.array(sorted(marks), U)
-        self.windows = {size: (np.array(sorted(d), U), [d[x] for x in sorted(d)]) for size, d in by_len.items()}
+
+@dataclass(frozen=True)
+class Gate:
+    """Which fingerprints and windows may be among those of the items, and how many words their windows have."""
+
+    k: int
+    window: int
+    sizes: tuple[int, ...]
+    marks: np.ndarray
+    keys: np.ndarray
 
     @staticmethod
-    def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
-        """Positions of x that are among the sorted known values; a bitmap of low bits spares most searches."""
-        bits = np.zeros(1 << 16, bool)
-        bits[(known & U(0xFFFF)).astype(np.int64)] = True
-        at = np.flatnonzero(bits[(x & U(0xFFFF)).astype(np.int64)])
-        place = np.minimum(np.searchsorted(known, x[at]), len(known) - 1)
-        return at[known[place] == x[at]]
-
-    def hits(self, buf: np.ndarray, s: np.ndarray, ln: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(position of the first word, number of words, window) of each occurrence."""
-        if not len(s):
-            return
-        h = hash_words(buf, s, ln)
-        end = np.repeat(first[1:], np.diff(first))
-        for size, (known, ids) in self.windows.items():
+    def _may(bitmap: np.ndarray, x: np.ndarray) -> np.ndarray:
+        at = x & U(8 * len(bitmap) - 1)
+        return (bitmap[(at >> U(3)).astype(np.int64)] >> (at & U(7)).astype(np.uint8)) & np.uint8(1) == 1
+
+    def spans(self, h: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First word and number of words of all windows that may be shared; end has where the text of each word ends."""
+        found = []
+        for size in self.sizes:
             if size == self.window:
                 grams = kgrams(h, self.k)
-                marks = fingerprints(grams, self.window - self.k + 1)
-                found = marks[self._among(grams[marks], self.marks)]
-                starts = np.unique(found[:, None] - np.arange(self.window - self.k + 1)[None, :])
+                around = self.window - self.k + 1
+                marks = fingerprints(grams, around)
+                marks = marks[self._may(self.marks, grams[marks])]
+                starts = np.unique(marks[:, None] - np.arange(around)[None, :])
             else:
-                starts = np.arange(len(s))
-            starts = starts[(starts >= 0) & (starts + size <= len(s))]
+                starts = np.arange(len(h))
+            starts = starts[(starts >= 0) & (starts + size <= len(h))]
             starts = starts[starts + size <= end[starts]]
-            if not len(starts):
-                continue
-            if size == self.window:
-                parts = [h[starts + j] for j in range(size)]
-                keys = self._span_hash(parts)
-            else:
-                keys = kgrams(h, size)[starts]
-            at = self._among(keys, known)
-            place = np.searchsorted(known, keys[at])
-            for a, p in zip(starts[at].tolist(), place.tolist(), strict=True):
-                here = [buf[s[x] : s[x] + ln[x]].tobytes() for x in range(a, a + size)]
-                for w in ids[p]:
-                    if self.texts[w] == here:
-                        yield a, size, w
+            starts = starts[self._may(self.keys, _span_hash(h, starts, size))]
+            found.append((starts, np.full(len(starts), size)))
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at, size = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((size, at))
+        return at[order], size[order]
 
-    @staticmethod
-    def _span_hash(parts: list[np.ndarray]) -> np.ndarray:
-        from shelfspark.llm.textbytes import mix
 
-        g = mix(parts[0] + U(len(parts)))
-        for x in parts[1:]:
-            g = mix(g * U(0x9E3779B97F4A7C15) + x)
-        return g
+def _span_hash(h: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """What kgrams(h, size) has at the starts."""
+    g = mix(h[starts] + U(size))
+    for j in range(1, size):
+        g = mix(g * U(0x9E3779B97F4A7C15) + h[starts + j])
+    return g
+
 
+WINDOW_SCHEMA = "t1 long, t2 long, at int, size int, mark long, key long, check long"
 
-SPANS = "array<struct<at:int,len:int>>"
 
+def _windows(k: int, window: int, gate: Gate | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(t1, t2, text) -> the windows of each text: all of an item's, or those of a run that pass the gate."""
 
-def _mark(items: list[tuple[str | None, str | None]], k: int, window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Adds to each row's spans (merged hit stretches of words) and items what this block of items finds."""
-    span = pa.list_(pa.struct([("at", pa.int32()), ("len", pa.int32())]))
+    def of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if gate is not None:
+            return gate.spans(h, np.full(len(h), len(h)))
+        size = min(window, len(h))
+        at = np.arange(len(h) - size + 1 if size else 0)
+        return at, np.full(len(at), size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(items, k, window)
         for batch in batches:
-            n_words = np.zeros(len(batch), np.int64)
-            spans, names = batch.column("__spans").to_pylist(), batch.column("__items").to_pylist()
-            for lo, _, buf, off in text_chunks(batch.column("__text")):
+            t1, t2 = np.asarray(batch.column("t1")), np.asarray(batch.column("t2"))
+            for lo, hi, buf, off in text_chunks(batch.column("text")):
                 s, ln, first = words(buf, off, ALNUM)
-                n_words[lo : lo + len(off) - 1] = np.diff(first)
-                per_row: dict[int, tuple[set, set]] = {}
-                for a, size, w in index.hits(buf, s, ln, first):
+                h = hash_words(buf, s, ln)
+                out: list[list[np.ndarray]] = []
+                for i in range(hi - lo):
+                    own = h[first[i] : first[i + 1]]
+                    at, size = of(own)
+                    mark, key, check = (np.zeros(len(at), U) for _ in range(3))
+                    for n in np.unique(size).tolist():
+                        here = np.flatnonzero(size == n)
+                        key[here] = _span_hash(own, at[here], n)
+                        check[here] = _span_hash(mix(own ^ CHECK), at[here], n)
+                        mark[here] = _sliding(kgrams(own, k), window - k + 1, np.minimum)[at[here]] if n == window else key[here]
+                    ids = [np.full(len(at), t[lo + i]) for t in (t1, t2)]
+                    out.append([*ids, at.astype(np.int32), size.astype(np.int32), *(x.view(np.int64) for x in (mark, key, check))])
+                names = ["t1", "t2", "at", "size", "mark", "key", "check"]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=names)
+
+    return run
+
+
+RUN_SCHEMA = "h1 long, h2 long, run string, ats array<int>"
+
+
+def _runs(gate: Gate) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(h1, h2, text) -> each text's distinct runs (their words, one blank between) and the words where they begin."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h1, h2 = batch.column("h1"), batch.column("h2")
+            for lo, _, buf, off in text_chunks(batch.column("text")):
+                s, ln, first = words(buf, off, ALNUM)
+                if not len(s):
+                    continue
+                at, size = gate.spans(hash_words(buf, s, ln), np.repeat(first[1:], np.diff(first)))
+                if not len(at):
+                    continue
+                # windows that overlap are one run; windows of two texts never do
+                upto = np.maximum.accumulate(at + size)
+                begin = np.flatnonzero(np.concatenate([[True], at[1:] >= upto[:-1]]))
+                ends = upto[np.append(begin[1:] - 1, len(at) - 1)]
+                found: dict[tuple[int, bytes], list[int]] = {}
+                for a, b in zip(at[begin].tolist(), ends.tolist(), strict=True):
                     row = int(np.searchsorted(first, a, "right")) - 1
-                    at, got = per_row.setdefault(row, (set(), set()))
-                    at.add((a - int(first[row]), size))
-                    got |= index.items[w]
-                for row, (at, got) in per_row.items():
-                    spans[lo + row] = _merged([*at, *((x["at"], x["len"]) for x in spans[lo + row])])
-                    names[lo + row] = sorted({*got, *names[lo + row]})
-            kept = [batch.column(i) for i, c in enumerate(batch.schema.names) if c not in ("__spans", "__items", "__n")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(spans, span), pa.array(names, pa.list_(pa.string())), pa.array(n_words)], names=[*(c for c in batch.schema.names if c not in ("__spans", "__items", "__n")), "__spans", "__items", "__n"])
+                    text = b" ".join(buf[s[x] : s[x] + ln[x]].tobytes() for x in range(a, b))
+                    found.setdefault((row, text), []).append(a - int(first[row]))
+                rows = pa.array([lo + row for row, _ in found])
+                texts = pa.array([text.decode() for _, text in found], pa.string())
+                yield pa.RecordBatch.from_arrays([h1.take(rows), h2.take(rows), texts, pa.array(list(found.values()), pa.list_(pa.int32()))], names=["h1", "h2", "run", "ats"])
 
     return run
 
 
+VERDICT_SCHEMA = "h1 long, h2 long, n_hit long, items array<string>, spans array<struct<at:int,len:int>>"
+
+
 def _merged(spans: list[tuple[int, int]]) -> list[dict[str, int]]:
     out: list[dict[str, int]] = []
     for at, size in sorted(spans):
@@ -168,15 +194,53 @@ def _merged(spans: list[tuple[int, int]]) -> list[dict[str, int]]:
     return out
 
 
-def _item_blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[str | None, str | None]]]:
-    """The items in blocks whose texts have a bounded size; the driver holds one block at a time (a single item is never cut)."""
-    rows = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("i"), F.col(f"`{text}`").alias("t")).filter("t is not null")
-    total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    blocks = max(1, -(-total // (BLOCK_BYTES // 2)))
-    for b in range(blocks):
-        found = [(r["i"], r["t"]) for r in rows.filter(F.pmod(F.xxhash64("t"), F.lit(blocks)) == b).collect()]
-        if found or b == 0:
-            yield found
+def _verdicts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h1, h2, parts, names) -> the merged spans and the items of each text; parts are the hits of its runs, and where these begin."""
+    kind = pa.list_(pa.struct([("at", pa.int32()), ("len", pa.int32())]))
+    for batch in batches:
+        spans, items = [], []
+        for parts, names in zip(batch.column("parts").to_pylist(), batch.column("names").to_pylist(), strict=True):
+            spans.append(_merged([(a + x["at"], x["size"]) for p in parts for a in p["ats"] for x in p["hits"]]))
+            items.append(sorted({i for some in names for i in some}))
+        n_hit = pa.array([sum(x["len"] for x in some) for some in spans], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column("h1"), batch.column("h2"), n_hit, pa.array(items, pa.list_(pa.string())), pa.array(spans, kind)], names=["h1", "h2", "n_hit", "items", "spans"])
+
+
+def _with_n_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n = np.zeros(len(batch), np.int64)
+        for lo, hi, buf, off in text_chunks(batch.column("__text")):
+            n[lo:hi] = np.diff(words(buf, off, ALNUM)[2])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n)], names=[*batch.schema.names, "__n"])
+
+
+def _text_id(text: str, *names: str) -> list:
+    """Two 64-bit hashes that stand for a text; null is the empty text."""
+    whole = F.coalesce(F.col(text), F.lit(""))
+    return [F.xxhash64(*salt, whole).alias(n) for n, salt in zip(names, ([], [F.lit(17)]), strict=True)]
+
+
+def _judged(texts: DataFrame, benchmark: DataFrame, k: int, window: int) -> DataFrame:
+    """texts(text), benchmark(item, text) -> (h1, h2, n_hit, items, spans) for each text that has a hit."""
+    items = benchmark.filter("text IS NOT NULL").select(*_text_id("text", "t1", "t2"), "item", "text")
+    with scratch(texts.sparkSession):
+        windows = items.groupBy("t1", "t2").agg(F.first("text").alias("text")).mapInArrow(_windows(k, window), WINDOW_SCHEMA)
+        windows = materialise(windows.drop("at").distinct(), "windows")
+        n, sizes = windows.agg(F.count("*"), F.collect_set("size")).first()  # up to `window` sizes
+        bits = min(MOST_BITS, max(1 << 16, 1 << (BITS_A_WINDOW * n).bit_length()))
+        gate = Gate(k, window, tuple(sorted(sizes)), *(_bitmap(windows.select(F.col(c).alias("x")), bits) for c in ("mark", "key")))
+        runs = texts.select(*_text_id("text", "h1", "h2"), "text").mapInArrow(_runs(gate), RUN_SCHEMA)
+        runs = materialise(runs.select("*", *_text_id("run", "t1", "t2")).dropDuplicates(["h1", "h2", "t1", "t2"]), "runs")
+        look = runs.groupBy("t1", "t2").agg(F.first("run").alias("text")).mapInArrow(_windows(k, window, gate), WINDOW_SCHEMA)
+        hits = look.join(windows.withColumnsRenamed({"t1": "i1", "t2": "i2"}), ["mark", "key", "check", "size"])
+        hits = materialise(hits.select("t1", "t2", "at", "size", "i1", "i2"), "hits")
+        spans = hits.groupBy("t1", "t2").agg(F.collect_set(F.struct("at", "size")).alias("hits"))
+        listed = items.filter("item IS NOT NULL").select(F.col("t1").alias("i1"), F.col("t2").alias("i2"), "item").distinct()
+        named = hits.select("t1", "t2", "i1", "i2").distinct().join(listed, ["i1", "i2"]).groupBy("t1", "t2").agg(F.collect_set("item").alias("names"))
+        known = spans.join(named, ["t1", "t2"], "left").withColumn("names", F.coalesce("names", F.array().cast("array<string>")))
+        parts = runs.select("h1", "h2", "t1", "t2", "ats").join(known, ["t1", "t2"]).groupBy("h1", "h2")
+        parts = parts.agg(F.collect_list(F.struct("ats", "hits")).alias("parts"), F.collect_list("names").alias("names"))
+        return materialise(parts.mapInArrow(_verdicts, VERDICT_SCHEMA), "verdicts", keep=True)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", k: int = K, window: int = WINDOW) -> DataFrame:
@@ -193,10 +257,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     columns with their names.
     """
     names = {c: f"__in{i}" for i, c in enumerate(docs.columns)}
+    items = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("item"), F.col(f"`{item_text}`").alias("text"))
+    verdicts = _judged(docs.select(F.col(f"`{text}`").alias("text")), items, k, window)
+    held = verdicts.agg(F.sum(40 + 8 * F.size("spans") + F.octet_length(F.array_join("items", ",")))).first()[0] or 0
     rows = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items() if c != text), F.col(f"`{text}`").alias("__text"))
-    rows = rows.withColumns({"__spans": F.array().cast(SPANS), "__items": F.array().cast("array<string>"), "__n": F.lit(0).cast("long")})
-    for block in _item_blocks(benchmark, item_id, item_text):
-        rows = rows.mapInArrow(_mark(block, k, window), rows.schema)
-    hit = F.aggregate("__spans", F.lit(0).cast("long"), lambda acc, x: acc + x["len"])
-    results = {"n_words": F.col("__n"), "n_hit": hit, "items": F.col("__items"), "spans": F.col("__spans"), "contaminated": (hit > 0) & (20 * hit >= F.col("__n"))}
+    rows = rows.mapInArrow(_with_n_words, StructType([*rows.schema.fields, StructField("__n", LongType())])).select("*", *_text_id("__text", "h1", "h2"))
+    rows = rows.join(F.broadcast(verdicts) if held <= BROADCAST_BYTES else verdicts, ["h1", "h2"], "left")
+    hit = F.coalesce("n_hit", F.lit(0).cast("long"))
+    results = {
+        "n_words": F.col("__n"), "n_hit": hit, "items": F.coalesce("items", F.array().cast("array<string>")),
+        "spans": F.coalesce("spans", F.array().cast("array<struct<at:int,len:int>>")), "contaminated": (hit > 0) & (20 * hit >= F.col("__n")),
+    }
     return rows.select(*((F.col("__text") if c == text else F.col(n)).alias(c) for c, n in names.items() if c not in results), *(x.alias(c) for c, x in results.items()))
