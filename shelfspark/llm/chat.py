@@ -149,10 +149,12 @@ def _digests(template: Template) -> Callable[[Iterator[pa.RecordBatch]], Iterato
     return run
 
 
-def read_back(segments: DataFrame, template: Template | None = None) -> DataFrame:
+def read_back(segments: DataFrame, template: Template | None = None, in_order: bool = False) -> DataFrame:
     """What the formatted conversations hold, parsed from the segments: turns, trained text and lengths, and whether the machine accepts.
 
-    One row for each conv_id. An empty table of segments gives an empty result.
+    One row for each conv_id. An empty table of segments gives an empty result. With in_order, segments are taken as they come from
+    format_chats, whole conversations one after another in a partition, and aren't shuffled again. Either way one task reads a
+    conversation from its first turn to its last, as digests and the machine's state need that order; it holds one turn at a time.
     """
-    ordered = segments.repartition("conv_id").sortWithinPartitions("conv_id", "pos")
+    ordered = segments if in_order else segments.repartition("conv_id").sortWithinPartitions("conv_id", "pos")
     return ordered.select("conv_id", "segment", "loss", "state").mapInArrow(_digests(template or Template()), DIGEST_SCHEMA)

@@ -71,17 +71,18 @@ def _solved(bins, target, mean):
     return F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), start, step)["lam"]
 
 
-def mix_sources(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id") -> DataFrame:
+def mix_sources(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", size: str | None = None) -> DataFrame:
     """The rows and columns of docs with size, source_size, target, rate, copies and taken (copies times size).
 
-    size is the number of blank-separated words of the whole text. A null or empty text has size 0 and takes nothing; its
+    size is the number of blank-separated words of the whole text; they are counted once and written with the rows. If
+    the column named by `size` has that number, the column `text` only tells rows of an id apart and may hold a hash of the text. A null or empty text has size 0 and takes nothing; its
     copies are 1, as it costs none. A null source is a source of its own and comes last. copies are 0, 1 or 2 and the same
     in each run; ties and repeated rows are told apart by nothing and may swap copies. A source whose target is twice its size
     takes each document twice. An empty table gives an empty result. Result columns replace input columns with their names.
     """
     given, names = hide(docs)
     src, ident = names[source], names[doc_id]
-    rows = given.withColumn("size", word_count(F.col(names[text])))
+    rows = materialise(given.withColumn("size", F.col(names[size]).cast("long") if size else word_count(F.col(names[text]))), "sized", keep=True)
     scale = F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(F.col("size"), F.lit(1)).cast("double") / (EXACT_SIZES / 2)))).cast("long")
     rows = rows.withColumn("__bin", F.when(F.col("size") < EXACT_SIZES, F.col("size")).otherwise(F.floor(F.col("size") / scale) * scale).cast("long"))
     cells = materialise(rows.groupBy(F.col(src).alias("source"), F.col("__bin").alias("x")).agg(F.count("*").alias("n"), F.sum("size").alias("tokens")), "sizes")
@@ -97,7 +98,7 @@ def mix_sources(docs: DataFrame, text: str = "text", source: str = "source", doc
     upto = F.sum(F.col("n") * F.col("rate")).over(Window.partitionBy("source").orderBy("x").rowsBetween(Window.unboundedPreceding, -1))
     table = materialise(rated.select(F.col("source").alias("__c"), F.col("x").alias("__x"), "source_size", "target", "rate", F.coalesce(upto, F.lit(0.0)).alias("__upto")), "rates")
     n_rows = cells.agg(F.sum("n")).first()[0] or 0
-    placed = numbered(rows, [src, "__bin"], [F.col(ident), F.xxhash64(names[text])], slices_for(n_rows), "__i")
+    placed = numbered(rows, [src, "__bin"], [F.col(ident), F.xxhash64(names[text])], slices_for(n_rows), "__i")  # a slice of a source's bin is all that a task sorts
     out = placed.join(table, F.col(src).eqNullSafe(F.col("__c")) & (F.col("__bin") == F.col("__x")))
     running = lambda i: F.floor(F.round(F.col("__upto") + i * F.col("rate"), 6) + 0.5)
     out = out.withColumn("copies", F.when(F.col("size") == 0, F.lit(1)).otherwise(F.least(running(F.col("__i") + 1) - running(F.col("__i")), F.lit(int(MOST)))).cast("int"))

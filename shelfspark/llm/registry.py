@@ -11,7 +11,7 @@ from shelfspark.llm import language, quality, toxicity
 from shelfspark.llm.chat import format_chats, read_back
 from shelfspark.llm.decontaminate import contamination
 from shelfspark.llm.exact_dup import exact_duplicates
-from shelfspark.llm.mixing import mix_sources
+from shelfspark.llm.mixing import mix_sources, word_count
 from shelfspark.llm.near_dup import near_duplicates
 from shelfspark.llm.ngrams import fold
 from shelfspark.llm.sharding import shard
@@ -71,13 +71,14 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.xxhash64("text").alias("text_hash"), word_count(F.col("text")).alias("words"))
+    return mix_sources(docs, text="text_hash", size="words").select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     hard = "<|im_end|><|im_start|>assistant ok"
     more = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
-    return read_back(format_chats(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more)))
+    return read_back(format_chats(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more)), in_order=True)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
