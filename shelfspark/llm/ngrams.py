@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 #: Where the n-grams of each order begin: single bytes have 2^8 places, pairs and hashed triples 2^16 each.
 PAIRS, TRIPLES, DIMS = 256, 256 + 65536, 256 + 2 * 65536
@@ -33,15 +34,19 @@ def indicators(text: np.ndarray, scratch: np.ndarray) -> np.ndarray:
 def sampled(rows: DataFrame, key: Column, stratum: str, bound: int) -> DataFrame:
     """About `bound` rows of each stratum at most, chosen by a hash of the key, so that reruns agree.
 
-    The strata are classes or languages. Their counts are aggregated before they reach the driver.
+    The strata are classes or languages. Their counts are aggregated before they reach the driver; of more than MOST_STRATA
+    the counts stay a table that is joined.
     """
-    counts = {r[0]: r[1] for r in rows.groupBy(stratum).agg(F.count("*")).limit(MOST_STRATA + 1).collect()}
-    if len(counts) > MOST_STRATA:
-        raise ValueError(f"{stratum} has more than {MOST_STRATA} values")
+    counts = rows.groupBy(stratum).agg(F.count("*").alias("__n"))
+    known = {r[0]: r[1] for r in counts.limit(MOST_STRATA + 1).collect()}
+    place = F.pmod(F.xxhash64(key, F.lit(71)), F.lit(1 << 20))
+    if len(known) > MOST_STRATA:
+        shares = counts.select(stratum, (F.lit(1 << 20) * F.least(F.lit(1.0), F.lit(bound) / F.col("__n"))).cast("int").alias("__share"))
+        return rows.join(shares, stratum).filter(place < F.col("__share")).select(*rows.columns)
     share = F.lit(0)
-    for value, n in counts.items():
+    for value, n in known.items():
         share = F.when(F.col(stratum) == F.lit(value), F.lit(int((1 << 20) * min(1.0, bound / n)))).otherwise(share)
-    return rows.filter(F.pmod(F.xxhash64(key, F.lit(71)), F.lit(1 << 20)) < share)
+    return rows.filter(place < share)
 
 
 MOST_STRATA = 512
@@ -67,7 +72,9 @@ def with_columns(docs: DataFrame, text: str, types: dict[str, str], score) -> Da
     names = {c: f"__in{i}" for i, c in enumerate(docs.columns)}
     body = names[text]
     rows = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), *(f"`__out_{c}` {t}" for c, t in types.items())])
+    schema = StructType(list(rows.schema.fields))
+    for c, t in types.items():
+        schema = schema.add(f"__out_{c}", DataType.fromDDL(t))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

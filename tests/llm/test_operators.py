@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -15,8 +16,8 @@ from shelfspark.llm import language, quality, toxicity
 from shelfspark.llm.chat import escape, escape_role, format_chats, read_back, unescape, unescape_role
 from shelfspark.llm.components import connected_components
 from shelfspark.llm.decontaminate import contamination
-from shelfspark.llm.exact_dup import exact_duplicates
-from shelfspark.llm.mixing import mix_sources
+from shelfspark.llm.exact_dup import exact_duplicates, row_salt
+from shelfspark.llm.mixing import mix_sources, word_count
 from shelfspark.llm.near_dup import near_duplicates, spanning_edges
 from shelfspark.llm.ngrams import fold
 from shelfspark.llm.registry import URL_RULES, queries
@@ -272,6 +273,19 @@ def test_exact_duplicates_awkward(spark):
     assert exact_duplicates(awkward(spark).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("keep", ["smallest", "largest"])
+def test_exact_duplicates_of_a_hot_text_with_repeated_and_null_ids(spark, keep):
+    rows = [(7, "hot")] * 1500 + [(None, "HOT")] * 1500 + [(None, "warm")] * 800 + [(i, f"cold {i}") for i in range(20)]
+    out = exact_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), keep=keep).collect()
+    by = defaultdict(list)
+    for r in out:
+        by[r["group_size"]].append(r)
+    assert {n: len(v) for n, v in by.items()} == {3000: 3000, 800: 800, 1: 20}
+    assert [r["doc_id"] for r in by[3000] if r["kept"]] == [7] and {r["keep_id"] for r in by[3000]} == {7}
+    assert [r["doc_id"] for r in by[800] if r["kept"]] == [None] and all(r["kept"] for r in by[1])
+    assert spark.createDataFrame([(1,)] * 100, "a int").coalesce(1).select(row_salt(32).alias("s")).distinct().count() == 32
+
+
 # ---- decontamination
 
 
@@ -289,6 +303,17 @@ def brute_contamination(text, items):
     return len(w), len(hit), sorted(found)
 
 
+def test_bitmaps(spark):
+    import numpy as np
+
+    from shelfspark.llm.decontaminate import Gate, _bitmap
+
+    x = np.random.default_rng(2).integers(-(1 << 63), (1 << 63) - 1, 500)
+    bitmap = _bitmap(spark.createDataFrame([(v,) for v in x[:250].tolist()], "x long"), 1 << 16)
+    may = Gate._may(bitmap, x.view(np.uint64))
+    assert may[:250].all() and may[250:].sum() < 10
+
+
 def test_contamination_against_brute_force(spark):
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()][:25] + [(100, "short Passage"), (101, None), (102, "!!"), (103, "the"), (104, "a b c d e f g h i j k l m n o")]
     rows = [(r["doc_id"], r["text"]) for r in docs_of(spark).limit(80).collect()]
@@ -301,11 +326,13 @@ def test_contamination_against_brute_force(spark):
         assert r["contaminated"] == (hit > 0 and 20 * hit >= n)
 
 
-def test_contamination_in_blocks_and_awkward(spark, monkeypatch):
+def test_contamination_of_other_plans_and_awkward(spark, monkeypatch):
     bench = spark.createDataFrame([(i, f"alpha{i} " * 13) for i in range(20)] + [(None, "lazy dog")], "item_id long, text string")
     docs = awkward(spark).unionByName(spark.createDataFrame([(20, "alpha3 " * 14 + "alpha4 " * 13)], "doc_id long, text string"), allowMissingColumns=True)
     one = {r["doc_id"]: r for r in contamination(docs, bench).filter("doc_id IS NOT NULL").collect()}
-    monkeypatch.setattr("shelfspark.llm.decontaminate.BLOCK_BYTES", 400)
+    # bitmaps of which nearly all bits are set, and verdicts that are not broadcast, change nothing
+    monkeypatch.setattr("shelfspark.llm.decontaminate.Gate._may", staticmethod(lambda bitmap, x: x == x))
+    monkeypatch.setattr("shelfspark.llm.decontaminate.BROADCAST_BYTES", -1)
     many = {r["doc_id"]: r for r in contamination(docs, bench).filter("doc_id IS NOT NULL").collect()}
     assert one == many and one[20]["items"] == ["3", "4"] and one[20]["n_hit"] == 27 and one[1]["n_hit"] == 2 and one[1]["items"] == []
     assert not any(r["contaminated"] for r in contamination(docs, bench.limit(0)).collect()) and contamination(docs.limit(0), bench).count() == 0
@@ -332,6 +359,99 @@ def test_language_of_many_and_of_none(spark):
     assert all((p == "und") == (not t or not any(c.isalpha() for c in t)) for t, p in got) and len(got) == 14
 
 
+def test_language_decoding_against_a_direct_one(spark):
+    import math
+
+    import numpy as np
+
+    from shelfspark.llm.ngrams import DIMS
+    from shelfspark.llm.textbytes import text_chunks
+
+    rng = np.random.default_rng(4)
+    code = language.codewords(4)
+    weight = rng.normal(0, 1, (DIMS, code.shape[1])).astype(np.float32)
+    model = language.Model(list("abcd"), code, weight, np.full(code.shape[1], 0.3), rng.random(code.shape[1]) + 0.1)
+    texts = ["Hello there", "été", "xyz" * 50, "ab", "q"]
+    import pyarrow as pa
+
+    ((_, _, buf, off),) = text_chunks(pa.array(texts))
+    margins = model.margins(buf, off)
+    best, score, _ = model.decode(margins)
+    for i, text in enumerate(texts):
+        b = lower(text).encode()
+        places = [*b, *(256 + (x << 8 | y) for x, y in zip(b, b[1:])), *(256 + 65536 + (((((x << 8 | y) << 8 | z) * 0x9E3779B1) & 0xFFFFFFFF) >> 16) for x, y, z in zip(b, b[1:], b[2:]))]
+        places = places if len(b) > 2 else list(b)
+        direct = [sum(float(weight[p, k]) for p in places) / len(places) for k in range(code.shape[1])]
+        assert np.allclose(margins[i], direct, atol=1e-4)
+        loss = [sum(t * math.exp(-max(-4.0, min(4.0, m / 0.3)) * c) for t, m, c in zip(model.trust, margins[i], row, strict=True)) / model.trust.sum() for row in code]
+        w = [math.exp(-4 * (x - min(loss))) for x in loss]
+        assert best[i] == int(np.argmin(loss)) and abs(score[i] - max(w) / sum(w)) < 1e-9
+
+
+def test_dual_coordinate_descent_reaches_the_optimum():
+    import numpy as np
+
+    from shelfspark.llm.ngrams import DIMS
+
+    rng = np.random.default_rng(6)
+    y = rng.integers(0, 2, 40)
+    rows = [np.unique(np.concatenate([rng.integers(0, 30, 6), rng.integers(10 * k, 10 * k + 12, 4)])).astype(np.uint32) for k in y]
+    ratio = quality.log_count_ratios(rows, y)
+    counts = np.ones((2, DIMS))
+    for x, k in zip(rows, y, strict=True):
+        for p in x:
+            counts[k, p] += 1
+    assert np.allclose(ratio, np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum()))
+    w, bias = quality.dual_coordinate_descent(rows, ratio, y, epochs=3000)
+    dense = np.zeros((40, 60))
+    for i, x in enumerate(rows):
+        dense[i, x] = ratio[x] / np.sqrt((ratio[x] ** 2).sum())
+    dense = np.hstack([dense, np.ones((40, 1))]) * np.where(y == 1, 1.0, -1.0)[:, None]
+    top = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+    primal = lambda v: 0.5 * v @ v + (top * np.maximum(0, 1 - dense @ v)).sum()
+    # a projected gradient on the dual, which bounds the primal from below
+    alpha, step = np.zeros(40), 1 / np.linalg.eigvalsh(dense @ dense.T).max()
+    for _ in range(60_000):
+        alpha = np.clip(alpha + step * (1 - dense @ (dense.T @ alpha)), 0, top)
+    bound = alpha.sum() - 0.5 * ((dense.T @ alpha) ** 2).sum()
+    assert abs(primal(np.append(w[:60], bias)) - bound) < 2e-3 * bound and not w[60:].any()
+
+
+def test_log_odds_and_extreme_values_against_direct_ones():
+    import math
+
+    import numpy as np
+
+    toxic, other, share = np.array([30.0, 2.0, 1.0]), np.array([4.0, 50.0, 1.0]), np.array([0.01, 0.2, 0.003])
+    delta, z = toxicity.log_odds(toxic, other, share, 60, 90)
+    for i in range(3):
+        a, b = toxic[i] + toxicity.PRIOR * share[i], other[i] + toxicity.PRIOR * share[i]
+        if a and b:
+            d = math.log(a / (60 + toxicity.PRIOR - a)) - math.log(b / (90 + toxicity.PRIOR - b))
+            assert abs(delta[i] - d) < 1e-9 and abs(z[i] - d / math.sqrt(1 / a + 1 / b)) < 1e-9
+    scores, chance = np.array([1.5, 3.0, -1.0]), np.array([0.05, 0.02, 0.93])
+    root = toxicity._decay(scores, chance)
+    assert root > 0 and abs(sum(c * math.exp(root * v) for c, v in zip(chance, scores, strict=True)) - 1) < 1e-6
+    model = toxicity.Model(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0), root, 0.2)
+    expected = [0.2 * 500 * math.exp(-root * v) for v in (12.0, 20.0)]
+    assert [model.expected(500, v) for v in (12.0, 20.0)] == pytest.approx(expected)
+    assert model.evidence(500, [12.0, 20.0]) == pytest.approx(math.log(1 + sum(-math.log(1 - math.exp(-e)) for e in expected if e < 1)))
+
+
+def test_many_strata_and_odd_structs(spark, monkeypatch):
+    from shelfspark.llm import ngrams
+
+    rows = spark.createDataFrame([(i, f"s{i % 9}") for i in range(9000)], "doc_id long, s string")
+    few = {r["doc_id"] for r in ngrams.sampled(rows, F.col("doc_id"), "s", 50).collect()}
+    monkeypatch.setattr(ngrams, "MOST_STRATA", 4)
+    assert {r["doc_id"] for r in ngrams.sampled(rows, F.col("doc_id"), "s", 50).collect()} == few and 300 < len(few) < 600
+    import numpy as np
+
+    odd = spark.sql("SELECT 'a text' AS text, named_struct('a b', 1, 'c`d', array(named_struct('e f', 2))) AS `x y`")
+    (got,) = language.identify(odd, language.Model(["en"], language.codewords(1), np.zeros((ngrams.DIMS, 1), "float32"), np.ones(1), np.ones(1))).collect()
+    assert got["x y"]["a b"] == 1 and got["lang_pred"] == "en"
+
+
 @pytest.mark.parametrize(("name", "label", "good", "bad"), [("op6_quality", "quality", 0.97, 0.8), ("op8_toxicity", "toxic", 0.85, 0.97)])
 def test_held_out_labels(spark, name, label, good, bad):
     out = queries()[name](spark, MEDIUM).join(spark.read.parquet(f"{MEDIUM}/labels.parquet"), "doc_id").filter("held_out")
@@ -354,6 +474,24 @@ def test_learned_awkward(spark, module, label):
     assert module.score(docs.limit(0), model).count() == 0
 
 
+def test_maximal_segments_take_linear_time():
+    import numpy as np
+
+    from shelfspark.llm import toxicity
+
+    def seconds(n):
+        # every word starts a segment below all earlier ones, or above them
+        best = []
+        for gap in (3, 1):
+            at, t = np.arange(n) * gap, time.perf_counter()
+            toxicity.maximal_segments(at, np.full(n, toxicity.DRIFT * 1.5))
+            best.append(time.perf_counter() - t)
+        return sum(best)
+
+    few, many = min(seconds(10_000) for _ in range(3)), min(seconds(80_000) for _ in range(3))
+    assert many < 8 * 3 * few
+
+
 def test_maximal_segments():
     import numpy as np
 
@@ -409,6 +547,35 @@ def test_mixing(spark):
     assert dict(zip(out["doc_id"], out["taken"])) == dict(zip(again["doc_id"], again["taken"]))
 
 
+def test_mixing_rates_against_a_direct_solution(spark):
+    rng = random.Random(11)
+    rows = [(k, "w " * (rng.randrange(1, 40) if s != "b" else 7), s) for k, s in enumerate(rng.choice("aabc") for _ in range(900))]
+    rows += [(2000 + k, "x " * 9, "d") for k in range(400)]  # all of one size: one hot bin
+    out = mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string")).toPandas()
+    for _, g in out.groupby("source"):
+        x, target = g["size"].to_numpy(float), g["target"].iloc[0]
+        if target >= 2 * x.sum() - 1e-9:
+            assert (g["copies"] == 2).all()
+            continue
+        lo, hi = -100.0, 100.0
+        rate = lambda lam: [min(2.0, 2.718281828459045 ** min(lam * v / x.mean(), 2.0)) for v in x]  # noqa: B023, E731
+        for _ in range(200):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if sum(r * v for r, v in zip(rate(mid), x, strict=True)) < target else (lo, mid)
+        assert abs(g["rate"].to_numpy() - rate(lo)).max() < 1e-6
+        # rounding: within one of the rates over all documents up to any size
+        for size in sorted(set(x)):
+            some = g[g["size"] <= size]
+            assert abs(some["copies"].sum() - some["rate"].sum()) <= 1
+
+
+def test_mixing_of_counted_words(spark):
+    docs = docs_of(spark).select("doc_id", "text", "source")
+    counted = docs.select("doc_id", "source", F.xxhash64("text").alias("h"), word_count(F.col("text")).alias("n"))
+    get = lambda df: {r["doc_id"]: (r["size"], r["taken"]) for r in df.select("doc_id", "size", "taken").collect()}
+    assert get(mix_sources(docs)) == {i: (n, t) for i, (n, t) in get(mix_sources(counted, text="h", size="n")).items()}
+
+
 def test_mixing_awkward(spark):
     out = mix_sources(awkward(spark)).collect()
     assert len(out) == 14
@@ -446,7 +613,17 @@ def test_chats(spark):
         assert out[c]["n_turns"] == len(turns_of) and out[c]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{t}\n" for _, r, t in turns_of).encode()).hexdigest()
         assert out[c]["loss_chars"] == len(said) and out[c]["loss_sha256"] == hashlib.sha256(said.encode()).hexdigest()
     assert {c for c, r in out.items() if r["valid"]} == {1, 2, 5}
-    assert format_chats(turns.limit(0)).count() == 0
+    assert {r["conv_id"]: r for r in read_back(format_chats(turns), in_order=True).collect()} == out
+    assert format_chats(turns.limit(0)).count() == 0 and read_back(format_chats(turns.limit(0))).count() == 0
+
+
+def test_a_very_long_conversation(spark):
+    rows = [(1, k, ("user", "assistant")[k % 2], f"turn {k} " * (k % 5)) for k in range(20_000)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    for in_order in (False, True):
+        (got,) = read_back(format_chats(turns), in_order=in_order).collect()
+        assert (got["n_turns"], got["valid"]) == (20_000, True)
+        assert got["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{t}\n" for _, _, r, t in rows).encode()).hexdigest()
 
 
 def test_segments_mark_only_trained_text(spark):
