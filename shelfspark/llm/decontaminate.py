@@ -118,33 +118,31 @@ WINDOW_SCHEMA = "t1 long, t2 long, at int, size int, mark long, key long, check
 def _windows(k: int, window: int, gate: Gate | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """(t1, t2, text) -> the windows of each text: all of an item's, or those of a run that pass the gate."""
 
-    def of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def spans(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        end = np.repeat(first[1:], np.diff(first))
         if gate is not None:
-            return gate.spans(h, np.full(len(h), len(h)))
-        size = min(window, len(h))
-        at = np.arange(len(h) - size + 1 if size else 0)
-        return at, np.full(len(at), size)
+            return gate.spans(h, end)
+        size = np.minimum(np.repeat(np.diff(first), np.diff(first)), window)
+        at = np.arange(len(h))
+        at = at[at + size <= end]
+        return at, size[at]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             t1, t2 = np.asarray(batch.column("t1")), np.asarray(batch.column("t2"))
-            for lo, hi, buf, off in text_chunks(batch.column("text")):
+            for lo, _, buf, off in text_chunks(batch.column("text")):
                 s, ln, first = words(buf, off, ALNUM)
                 h = hash_words(buf, s, ln)
-                out: list[list[np.ndarray]] = []
-                for i in range(hi - lo):
-                    own = h[first[i] : first[i + 1]]
-                    at, size = of(own)
-                    mark, key, check = (np.zeros(len(at), U) for _ in range(3))
-                    for n in np.unique(size).tolist():
-                        here = np.flatnonzero(size == n)
-                        key[here] = _span_hash(own, at[here], n)
-                        check[here] = _span_hash(mix(own ^ CHECK), at[here], n)
-                        mark[here] = _sliding(kgrams(own, k), window - k + 1, np.minimum)[at[here]] if n == window else key[here]
-                    ids = [np.full(len(at), t[lo + i]) for t in (t1, t2)]
-                    out.append([*ids, at.astype(np.int32), size.astype(np.int32), *(x.view(np.int64) for x in (mark, key, check))])
-                names = ["t1", "t2", "at", "size", "mark", "key", "check"]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=names)
+                at, size = spans(h, first)
+                mark, key, check = (np.zeros(len(at), U) for _ in range(3))
+                for n in np.unique(size).tolist():
+                    here = np.flatnonzero(size == n)
+                    key[here] = _span_hash(h, at[here], n)
+                    check[here] = _span_hash(mix(h ^ CHECK), at[here], n)
+                    mark[here] = _sliding(kgrams(h, k), window - k + 1, np.minimum)[at[here]] if n == window else key[here]
+                row = np.searchsorted(first, at, "right") - 1
+                out = [t1[lo + row], t2[lo + row], (at - first[row]).astype(np.int32), size.astype(np.int32), *(x.view(np.int64) for x in (mark, key, check))]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["t1", "t2", "at", "size", "mark", "key", "check"])
 
     return run
 
