@@ -11,40 +11,47 @@ from pyspark.sql import functions as F
 from shelfspark.functions.vocabulary import BRAND_ENDINGS, CYRILLIC, LATIN_OF, SLUG_LETTERS
 
 
+def _plain(char: str) -> str:
+    return "".join(x for x in unicodedata.normalize("NFKD", char) if not unicodedata.combining(x))
+
+
 @cache
-def _folds() -> tuple[str, str]:
-    """Letters whose compatibility decomposition without marks is one character, then those without any; and the targets."""
-    single, gone = [], []
-    for code in range(0xA0, 0x3000):
+def _folds() -> tuple[str, str, dict[str, str]]:
+    """Letters whose compatibility decomposition without marks is one character, then those without any; their targets; and the
+    letters with a longer one (ligatures, fractions, digraphs, units). Hangul syllables and rarer planes stay as they are."""
+    single, gone, several = [], [], {}
+    for code in (*range(0xA0, 0x3400), *range(0xFB00, 0xFB50), *range(0xFF00, 0xFFF0)):
         char = chr(code)
-        plain = "".join(x for x in unicodedata.normalize("NFKD", char) if not unicodedata.combining(x))
+        plain = _plain(char)
         if plain == "":
             gone.append(char)
         elif len(plain) == 1 and plain != char:
             single.append((char, plain))
-    return "".join(a for a, _ in single) + "".join(gone), "".join(b for _, b in single)
-
-
-def fold(c: Column) -> Column:
-    """Letters without their marks (compatibility decomposition). The few characters that decompose to several (ligatures, fractions) stay."""
-    return F.translate(c, *_folds())
+        elif len(plain) > 1:
+            several[char] = plain
+    return "".join(a for a, _ in single) + "".join(gone), "".join(b for _, b in single), several
 
 
-def fold_all(c: Column) -> Column:
-    """`fold` for every character, in a pandas UDF: for columns of distinct values with ligatures or fractions."""
-    import pandas as pd
+def is_ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.char_length(c)
 
-    @F.pandas_udf("string")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: None if x is None else "".join(y for y in unicodedata.normalize("NFKD", x) if not unicodedata.combining(y)))
 
-    return run(c)
+def fold(c: Column) -> Column:
+    """Letters without their marks (compatibility decomposition). ASCII text is left alone, and single letters are looked up only
+    where one decomposes to several."""
+    before, after, several = _folds()
+    short = F.translate(c, before, after)
+    table = F.create_map(*(F.lit(x) for pair in several.items() for x in pair))
+    long = F.array_join(F.transform(F.split(short, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
+    return F.when(is_ascii(c), c).when(short.rlike("[" + "".join(several) + "]"), long).otherwise(short)
 
 
 def normalise_name(c: Column) -> Column:
     """Lower case, without marks, punctuation as single blanks; null is empty."""
-    plain = F.regexp_replace(fold(F.lower(F.coalesce(c, F.lit("")))), r"(?U)[^\w\s]+", " ")
-    return F.trim(F.regexp_replace(plain, r"(?U)\s+", " "))
+    low = F.lower(F.coalesce(c, F.lit("")))
+    folded = fold(low)
+    plain = F.when(is_ascii(low), F.regexp_replace(low, r"[^\w\s]+", " ")).otherwise(F.regexp_replace(folded, r"(?U)[^\w\s]+", " "))
+    return F.trim(F.when(is_ascii(plain), F.regexp_replace(plain, r"\s+", " ")).otherwise(F.regexp_replace(plain, r"(?U)\s+", " ")))
 
 
 def slugify(c: Column) -> Column:
@@ -72,7 +79,7 @@ def bilingual_slugs(c: Column) -> Column:
 
 
 def brand_slug(c: Column) -> Column:
-    """A brand's slug before aliases are looked up; null is empty."""
+    """A brand's slug before aliases are looked up (`sources.adapter.normalise` does so); null is empty."""
     return slugify(F.coalesce(c, F.lit("")))
 
 
@@ -85,10 +92,3 @@ def brand_key(c: Column) -> Column:
     """An aggressive key: endings like -beauty or _paris dropped, as often as they come, then all separators."""
     ends = "|".join(BRAND_ENDINGS)
     return F.regexp_replace(F.regexp_replace(F.trim(F.lower(c)), f"(?:[ _-]+(?:{ends}))+$", ""), "[\\s\\-_'’]+", "")
-
-
-def sql_fold(expr: str) -> str:
-    """The same folding in DuckDB, for the SQL equivalents."""
-    return f"strip_accents({expr})"
-
-

@@ -53,6 +53,7 @@ def null_rates(rows: DataFrame) -> DataFrame:
     return rows.groupBy("run_id", "retailer").agg(
         share(F.col("volume_norm").isNull()).alias("volume_null_rate"), share(F.col("brand_norm").isNull() | (F.col("brand_norm") == "")).alias("brand_null_rate"),
         F.round(share(F.col("volume_norm").isNull()), 4).alias("volume_null_rate_4"),
+        F.round(share(F.col("brand_norm").isNull() | (F.col("brand_norm") == "")), 4).alias("brand_null_rate_4"),
         share(F.col("name").isNull() | F.col("current_price").isNull() | F.col("url").isNull()).alias("required_null_rate"),
     )
 

@@ -66,7 +66,7 @@ MORE_SQL = {
     "rejections": f"""{_F}, ranked AS (SELECT *, row_number() OVER (PARTITION BY run_id, retailer ORDER BY sku_id) AS k FROM checked WHERE reasons <> '')
       SELECT run_id, retailer, count(*) AS attempted, count(*) FILTER (reasons <> '') AS rejected, count(*) FILTER (reasons <> '') / count(*) AS rejected_rate,
         (SELECT coalesce(string_agg(sku_id || ' ' || reasons, '; ' ORDER BY k), '') FROM ranked r WHERE r.run_id = c.run_id AND r.retailer = c.retailer AND k <= 50) AS listed FROM checked c GROUP BY run_id, retailer""",
-    "null_rates": f"{_F} SELECT run_id, retailer, avg(CASE WHEN volume_norm IS NULL THEN 1.0 ELSE 0.0 END) AS volume_null_rate, avg(CASE WHEN brand_norm = '' THEN 1.0 ELSE 0.0 END) AS brand_null_rate, round(avg(CASE WHEN volume_norm IS NULL THEN 1.0 ELSE 0.0 END), 4) AS volume_null_rate_4, avg(CASE WHEN url IS NULL THEN 1.0 ELSE 0.0 END) AS required_null_rate FROM faulty GROUP BY 1, 2",
+    "null_rates": f"{_F} SELECT run_id, retailer, avg(CASE WHEN volume_norm IS NULL THEN 1.0 ELSE 0.0 END) AS volume_null_rate, avg(CASE WHEN brand_norm = '' THEN 1.0 ELSE 0.0 END) AS brand_null_rate, round(avg(CASE WHEN volume_norm IS NULL THEN 1.0 ELSE 0.0 END), 4) AS volume_null_rate_4, round(avg(CASE WHEN brand_norm = '' THEN 1.0 ELSE 0.0 END), 4) AS brand_null_rate_4, avg(CASE WHEN url IS NULL THEN 1.0 ELSE 0.0 END) AS required_null_rate FROM faulty GROUP BY 1, 2",
     "filled_counts": f"{_F} SELECT run_id, retailer, count(*) AS rows, count(volume_norm) AS with_volume, count(current_price) AS with_price FROM faulty GROUP BY 1, 2",
     "duplicate_keys": f"WITH {SNAPSHOTS} SELECT run_id, retailer, CAST({_N} % 1500 AS VARCHAR) AS sku_id, count(*) AS n FROM snapshots GROUP BY 1, 2, 3 HAVING n > 1",
     "brand_in_name": f"WITH {SNAPSHOTS} SELECT run_id, retailer, count(*) FILTER ({_N} % 9 = 0) AS brand_in_name, count(*) AS rows FROM snapshots GROUP BY 1, 2",
@@ -138,7 +138,7 @@ MORE_SQL = {
     "microdata_products": f"SELECT CAST(p_partkey AS VARCHAR) AS sku_id, {_H}/' || p_partkey || '-' || replace(p_name, ' ', '-') AS url, p_name AS name, p_brand AS brand_raw, {_FLOOR} AS current_price, {_FLOOR} + 300 AS was_price, 'KZT' AS currency, CASE WHEN p_partkey % 2 = 0 THEN 'InStock' ELSE 'OutOfStock' END AS availability, p_size || ' мл' AS raw_volume_text FROM part",
     "catalogue_links": f"SELECT {_H}/item/' || p_partkey AS url, lpad(CAST(CASE WHEN p_partkey % 50 = 0 AND p_partkey > 0 THEN p_partkey // 50 - 1 ELSE p_partkey // 50 END AS VARCHAR), 9, '0') AS page, CAST(CASE WHEN p_partkey % 50 = 0 AND p_partkey > 0 THEN 50 ELSE p_partkey % 50 END AS INTEGER) AS pos FROM part",
     "run_summary": f"{_SUMMARY} SELECT * FROM summary",
-    "sheet_counts": f"{_SUMMARY} SELECT run_id, s.sheet, s.rows FROM summary, LATERAL (VALUES ('deltas', match_count), ('gaps', gaps_count), ('promotions', promo_count), ('summary', 1)) s(sheet, rows) WHERE s.rows > 0",
+    "sheet_counts": f"{_SUMMARY} SELECT run_id, s.sheet, s.rows FROM summary, LATERAL (VALUES ('deltas', match_count), ('gaps', gaps_count), ('promotions', promo_count), ('summary', 1)) s(sheet, rows)",
     "summary_text": f"""{_SUMMARY}, best AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY abs(price_delta_pct) DESC, base_sku, competitor_sku) AS k FROM matches),
       lines AS (SELECT run_id, string_agg(' ' || k || '. ' || brand_norm || ' ' || name_norm || ' ' || volume_norm || ': ' || price_delta_pct || '%', chr(10) ORDER BY k) AS l FROM best WHERE k <= 3 GROUP BY 1)
       SELECT run_id, '📊 Неделя 2026-W19 — base vs competitor' || chr(10) || chr(10) || '📦 base: ' || base_count || ' SKU  •  competitor: ' || competitor_count || ' SKU' || chr(10) || '🎯 Совпало: ' || match_count || ' (' || match_rate || '%)' || chr(10)
@@ -148,3 +148,19 @@ MORE_SQL = {
 }
 MORE_SQL["cards_with_variants"] = f"""WITH cards AS ({MORE_SQL['card_products']}), variants AS ({MORE_SQL['variant_products']})
   SELECT * FROM cards UNION ALL SELECT * FROM variants v WHERE CAST(regexp_replace(regexp_replace(sku_id, '^c', ''), '-1$', '') AS BIGINT) % 2 = 1 AND sku_id NOT IN (SELECT sku_id FROM cards)"""
+
+_VALID = "current_price > 0 AND (retailer = 'base' OR volume_raw IS NOT NULL)"
+_SCOPE = _BRANDS.replace(" UNION SELECT brand || '-red' FROM brands WHERE pos % 2 = 0", "")
+MORE_SQL |= {
+    "ledger_weeks": f"""WITH s AS ({MORE_SQL["run_summary"]}), t AS ({MORE_SQL["summary_text"]})
+      SELECT CAST(run_id AS BIGINT) AS run_id, 'success' AS status, CAST(NULL AS VARCHAR) AS fail_reason, base_count AS base_rows, competitor_count AS competitor_rows, match_count, match_rate, summary FROM s JOIN t USING (run_id)
+      UNION ALL SELECT 3, 'failed', 'match_count', base_count, competitor_count, match_count, match_rate, NULL FROM s WHERE run_id = 2""",
+    "ledger_edits": f"""WITH {SNAPSHOTS}, kept AS (SELECT *, retailer = 'competitor' AND brand_norm = 'brand-11' AND CAST(replace(sku_id, 'c', '') AS BIGINT) % 2 = 1 AS gone FROM snapshots WHERE run_id = 1 AND {_VALID}),
+      n AS (SELECT CAST(1 AS BIGINT) AS run_id, retailer, count(*) AS n FROM kept WHERE NOT gone GROUP BY ALL UNION ALL SELECT 3, retailer, count(*) FROM kept WHERE retailer = 'base' GROUP BY ALL)
+      SELECT run_id, retailer, n, n AS skus, CASE WHEN retailer = 'competitor' THEN n END AS stat FROM n""",
+    "report_sheets": f"SELECT sheet, CAST(sum(rows) AS BIGINT) AS rows FROM ({MORE_SQL['sheet_counts']}) GROUP BY 1",
+    "scope_of_runs": f"WITH {_SCOPE} SELECT 'found' AS kind, brand, url FROM found UNION ALL SELECT CASE source WHEN 'new_slug' THEN 'new' ELSE 'unmatched' END, item, NULL FROM queue",
+    "ledger_queue": f"WITH {_SCOPE} SELECT * FROM queue",
+    "aliased_matches": f"{_M} SELECT * FROM matches",
+    "parsed_pages": f"SELECT *, 'base' AS retailer FROM ({MORE_SQL['embedded_products']}) UNION ALL BY NAME SELECT *, 'competitor' AS retailer FROM ({MORE_SQL['microdata_products']})",
+}

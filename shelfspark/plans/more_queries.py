@@ -9,7 +9,10 @@ from shelfspark.functions import pricing, text, volume
 from shelfspark.operators import history, matching, quality, report, scope
 from shelfspark.schema import BASE, COMPETITOR
 from shelfspark.sources import listing, pages
-from shelfspark.sources.adapter import raw_base, raw_competitor, snapshots, table
+from shelfspark.plans.ledger import Ledger
+from shelfspark.plans.runs import competitor_scope, queue_run, weekly_run
+from shelfspark.sources.adapter import base_products, competitor_products, normalise, offered, raw_base, raw_competitor, snapshots, table
+from shelfspark.storage import materialise, new_path
 
 HOST = "https://shop.example"
 
@@ -280,14 +283,17 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listing.catalogue_products(items, page, HOST)
 
 
-def embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
+def embedded_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, price = F.col("p_partkey"), F.floor(F.col("p_retailprice"))
     variant = F.struct(F.when(k % 9 != 0, price).otherwise(F.lit(5)).cast("double").alias("price"), (price + k % 2 * 70).cast("double").alias("realPrice"), F.array(F.struct(F.lit("Размер").alias("name"), F.when(k % 2 == 0, F.concat(F.col("p_size").cast("string"), F.lit(" мл"))).otherwise(" ").alias("value"))).alias("attributes"))
     item = F.struct(k.cast("string").alias("id"), F.col("p_name").alias("name"), F.when(k % 8 != 0, F.col("p_brand")).otherwise("").alias("brandName"), F.when(k % 5 != 0, (k % 3).cast("int")).alias("count"), F.when(k % 2 == 0, "PREORDER").otherwise("ONLINE").alias("purchaseType"))
     data = F.to_json(F.struct(F.struct(F.struct(item.alias("item"), F.when(k % 6 != 0, F.array(variant)).otherwise(F.array().cast(f"array<{'struct<price:double,realPrice:double,attributes:array<struct<name:string,value:string>>>'}>")).alias("attributes")).alias("pageProps")).alias("props")))
     html = F.concat(F.lit('<html><body><script id="__NEXT_DATA__" type="application/json">'), data, F.lit("</script></body></html>"))
-    rows = table(spark, sf_dir, "part").select(F.concat(F.lit(f"{HOST}/item/"), k.cast("string")).alias("url"), F.when(k % 11 != 0, html).otherwise("<html></html>").alias("html"))
-    return pages.embedded_products(rows)
+    return table(spark, sf_dir, "part").select(F.concat(F.lit(f"{HOST}/item/"), k.cast("string")).alias("url"), F.when(k % 11 != 0, html).otherwise("<html></html>").alias("html"))
+
+
+def embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.embedded_products(embedded_pages(spark, sf_dir))
 
 
 def microdata_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -326,10 +332,97 @@ def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.publish_route(runs).join(runs.select("run_id", F.coalesce(quality.upstream_skip(F.col("status")), F.lit("runs")).alias("skip")), "run_id")
 
 
+# ---- composed runs over a ledger of their own
+
+
+def whole_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots whose volume texts are all given, so that none is rejected."""
+    return snapshots(spark, sf_dir).withColumn("volume_raw", F.coalesce("volume_raw", F.lit("-")))
+
+
+def ledger_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both runs through the weekly plan; then what the ledger holds of them. A third run has a count of matches that it can't reach."""
+    ledger, rows = Ledger(spark, new_path(spark, "ledger")), materialise(whole_rows(spark, sf_dir), "rows")
+    for run_id, source, least in ((1, 1, 1), (2, 2, 1), (3, 2, 1 << 40)):
+        side = [rows.filter((F.col("run_id") == source) & (F.col("retailer") == r)) for r in (BASE, COMPETITOR)]
+        weekly_run(ledger, run_id, *side, "2026-W19", (1, 1, least))
+    stats = history.stats_map(spark.read.parquet(f"{ledger.root}/run_stats"))
+    of = lambda key: F.try_element_at("stats", F.lit(key))
+    return ledger.runs().join(stats, "run_id").select(
+        "run_id", "status", "fail_reason", of("base.fetch_count").cast("long").alias("base_rows"), of("competitor.fetch_count").cast("long").alias("competitor_rows"),
+        of("match.count").cast("long").alias("match_count"), of("match.rate").cast("double").alias("match_rate"), of("report.summary_text").alias("summary"),
+    )
+
+
+def ledger_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a ledger after the same append twice, a cloned side, and a recovered brand, with the count in the stats."""
+    ledger, rows = Ledger(spark, new_path(spark, "ledger")), materialise(snapshots(spark, sf_dir).filter("run_id = 1"), "rows")
+    for _ in range(2):
+        ledger.append_snapshots(rows, 1)
+    ledger.clone_side(BASE, 1, 3)
+    again = quality.valid_rows(rows).filter((F.col("retailer") == COMPETITOR) & (F.col("brand_norm") == "brand-11") & (sku_number() % 2 == 0))
+    ledger.recover_brands(again, 1, COMPETITOR, spark.createDataFrame([("brand-11",)], "brand_norm string"))
+    stats = history.stats_now(spark.read.parquet(f"{ledger.root}/run_stats")).filter(F.col("key") == f"{COMPETITOR}.fetch_count")
+    counts = ledger.snapshots().groupBy("run_id", "retailer").agg(F.count("*").alias("n"), F.count_distinct("sku_id").alias("skus"))
+    known = stats.select("run_id", F.lit(COMPETITOR).alias("retailer"), F.col("value").cast("long").alias("stat"))
+    return counts.join(known, ["run_id", "retailer"], "left")
+
+
+def report_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of each sheet that was written and read back."""
+    ledger, rows = Ledger(spark, new_path(spark, "ledger")), materialise(snapshots(spark, sf_dir), "rows")
+    sheets = report.sheets(rows, materialise(matching.match_products(rows), "matches"))
+    ledger.write_sheets(sheets, 0)
+    counts = [spark.read.parquet(f"{ledger.root}/sheets/run_id=0/{name}").agg(F.lit(name).alias("sheet"), F.count("*").alias("rows")) for name in sheets]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+def run_slugs(spark: SparkSession, sf_dir: str, run_id: int) -> DataFrame:
+    return pages.sitemap_slugs(sitemap(spark, sf_dir).filter(F.col("run_id") == run_id))
+
+
+def scope_of_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the competitor's scope finds, calls new, and misses."""
+    both = run_slugs(spark, sf_dir, 1).withColumn("run_id", F.lit(1)).unionByName(run_slugs(spark, sf_dir, 2).withColumn("run_id", F.lit(2)))
+    found, new, missing = competitor_scope(both, brands(spark, sf_dir), aliases(spark, sf_dir))
+    out = found.select(F.lit("found").alias("kind"), "brand", "url").union(new.select(F.lit("new"), "slug", F.lit(None).cast("string")))
+    return out.union(missing.select(F.lit("unmatched"), "brand", F.lit(None).cast("string")))
+
+
+def ledger_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The review queues that two runs leave in the ledger, from the slugs kept with each run."""
+    ledger = Ledger(spark, new_path(spark, "ledger"))
+    for run_id in (1, 2):
+        queue_run(ledger, run_id, run_slugs(spark, sf_dir, run_id), brands(spark, sf_dir), aliases(spark, sf_dir))
+    return ledger.queue().filter("run_id = 2")
+
+
+def aliased_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matches where the competitor spells the brands of every third product by an alias."""
+    names = table(spark, sf_dir, "part").select(F.col("p_brand").alias("brand")).distinct()
+    known = names.select(text.slugify(F.col("brand")).alias("canonical"), F.concat(F.lit("La Maison "), "brand").alias("alias"), F.lit(0).alias("pos"))
+    dimension = scope.alias_dimension(known, text.slugify(F.col("alias")))
+    spelled = F.when(sku_number() % 3 == 0, F.concat(F.lit("La Maison "), "brand_raw")).otherwise(F.col("brand_raw"))
+    other = normalise(competitor_products(spark, sf_dir).withColumn("brand_raw", spelled), COMPETITOR, aliases=dimension)
+    base = normalise(base_products(spark, sf_dir), BASE, aliases=dimension)
+    offers = offered(spark, sf_dir, other)
+    return matching.match_products(base.join(offers.select("run_id").distinct()).unionByName(offers))
+
+
+def parsed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of both retailers, each by its own extraction, and of an unknown one."""
+    parts = [(BASE, embedded_pages(spark, sf_dir)), (COMPETITOR, microdata_pages(spark, sf_dir)), ("nobody", microdata_pages(spark, sf_dir))]
+    found = [pages.parse_pages(rows, name, 100).withColumn("retailer", F.lit(name)) for name, rows in parts]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 def matched(f):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = snapshots(spark, sf_dir)
-        return f(rows, matching.match_products(rows))
+        rows = materialise(snapshots(spark, sf_dir), "snapshots")
+        return f(rows, materialise(matching.match_products(rows), "matches"))
 
     return run
 
@@ -351,6 +444,8 @@ MORE = {
     "card_products": lambda s, d: listing.card_products(card_pages(s, d), HOST), "variant_products": lambda s, d: listing.variant_products(variant_pages(s, d), HOST), "cards_with_variants": topped_up, "catalogue_products": catalogue,
     "embedded_products": embedded, "microdata_products": lambda s, d: pages.microdata_products(microdata_pages(s, d), 100), "catalogue_links": catalogue_links,
     "run_summary": matched(report.summary), "sheet_counts": matched(report.sheet_counts), "summary_text": matched(lambda s, m: report.summary_text(report.summary(s, m), report.best_deltas(m), F.lit("2026-W19"))),
+    "ledger_weeks": ledger_weeks, "ledger_edits": ledger_edits, "ledger_queue": ledger_queue, "report_sheets": report_sheets,
+    "scope_of_runs": scope_of_runs, "aliased_matches": aliased_matches, "parsed_pages": parsed_pages,
     "distinct_base_brands": lambda s, d: snapshots(s, d).filter((F.col("retailer") == BASE) & ~quality.blank("brand_norm")).select("run_id", "brand_norm").distinct().orderBy("run_id", "brand_norm"),
     "raw_listing": lambda s, d: matching.side(snapshots(s, d), COMPETITOR).select("run_id", "brand", "name", "sku_id", "current_price").orderBy("brand", "name", "sku_id"),
 }

@@ -11,6 +11,8 @@ MATCHES = (
 )
 RUN_EVENTS = "run_id long, seq long, kind string, status string, fail_reason string, at timestamp"
 RUN_STATS = "run_id long, key string, value string, seq long"
+SLUGS = "run_id long, slug string, url string"
+REVIEW_QUEUE = "run_id long, item string, source string, status string"
 PAGE_CAPTURES = "url string, status int, title string, html string, block boolean, block_reason string, timing_ms long, fetched_at timestamp"
 
 BASE, COMPETITOR = "base", "competitor"

@@ -21,8 +21,8 @@ def page_title(html: Column) -> Column:
 
 def page_state(html: Column, title: Column, shell_chars: int = SHELL_CHARS) -> Column:
     """gate-shell, stale-sku or real-pdp, by size and title."""
-    small = F.length(html) < shell_chars
-    return F.when(small & F.contains(F.lower(title), F.lit(GATE_TITLE)), "gate-shell").when(small, "stale-sku").otherwise("real-pdp")
+    small = F.coalesce(F.length(html), F.lit(0)) < shell_chars  # no page is a small one
+    return F.when(small & F.coalesce(F.contains(F.lower(title), F.lit(GATE_TITLE)), F.lit(False)), "gate-shell").when(small, "stale-sku").otherwise("real-pdp")
 
 
 def fetch_outcome(status: Column, cleared: Column, size: Column, failed: Column, shell_chars: int = SHELL_CHARS) -> Column:
@@ -117,12 +117,29 @@ class _Node:
         self.own: list[str] = []
 
     def walk(self) -> Iterator["_Node"]:
-        for c in self.children:
-            yield c
-            yield from c.walk()
+        """All nodes below, in the order of the page; with a stack, as unclosed tags nest without bound."""
+        left = self.children[::-1]
+        while left:
+            node = left.pop()
+            yield node
+            left.extend(node.children[::-1])
 
     def text(self) -> str:
-        return "".join(x if isinstance(x, str) else x.text() for x in self.parts).strip()
+        """The text below; that of each element without the blanks around it."""
+        done: list[list[str]] = [[]]
+        left: list[tuple[object, bool]] = [(x, False) for x in self.parts[::-1]]
+        while left:
+            x, closes = left.pop()
+            if isinstance(x, str):
+                done[-1].append(x)
+            elif closes:
+                inner = "".join(done.pop()).strip()
+                done[-1].append(inner)
+            else:
+                done.append([])
+                left.append((x, True))
+                left.extend((y, False) for y in x.parts[::-1])
+        return "".join(done[0]).strip()
 
     @property
     def parts(self) -> list:

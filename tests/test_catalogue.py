@@ -27,7 +27,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", ["product_types", "gaps_by_key", "rejections", "suggested_thresholds", "run_states", "brand_pool", "fuzzy_labels", "cards_with_variants", "catalogue_products", "microdata_products", "volumes", "iso_weeks", "document_names"])
+@pytest.mark.parametrize("name", ["snapshots", "null_rates", "document_names", "page_captures", "sheet_counts", "summary_text", "ledger_weeks", "ledger_edits", "ledger_queue", "report_sheets", "scope_of_runs", "aliased_matches", "parsed_pages", "product_types", "gaps_by_key", "rejections", "suggested_thresholds", "run_states", "brand_pool", "fuzzy_labels", "cards_with_variants", "catalogue_products", "microdata_products", "volumes", "iso_weeks", "document_names"])
 def test_query_equals_sql(spark, duck, name):
     df = entry.queries()[name](spark, SMALL)
     columns = sorted(df.columns)
@@ -55,6 +55,33 @@ def test_slugs(spark):
     assert every(spark, list(cases), text.bilingual_slugs) == [(v,) for v in cases.values()]
 
 
+def test_folding(spark):
+    import unicodedata
+
+    plain = lambda x: "".join(y for y in unicodedata.normalize("NFKD", x.lower()) if not unicodedata.combining(y))
+    cases = ["ﬁne ﬂower", "½ l", "Ǆ…", "３５ ｍｌ", "Éa ﬀ №", "plain", "㎡ x", "ё й"]
+    assert every(spark, cases, lambda c: text.fold(F.lower(c))) == [(plain(x),) for x in cases]
+    assert every(spark, ["Été — ½ ﬁn!", "A  b\t,c", None], text.normalise_name) == [("ete 1 2 fin",), ("a b c",), ("",)]
+
+
+def test_deep_markup_and_missing_pages(spark):
+    from shelfspark.sources import pages
+
+    offer = "<div itemprop='offers' itemtype='https://schema.org/Offer'><link itemprop='availability' href='https://schema.org/InStock'><meta itemprop='price' content='500'></div>"
+    html = "<h1>" + "<b>" * 5000 + " Name " + "</b>" * 3 + "</h1>" + "<div>" * 5000 + offer
+    (got,) = pages.microdata_products(spark.createDataFrame([("https://x/1-a", html), ("https://x/2-b", None)], "url string, html string"), 100).collect()
+    assert (got["sku_id"], got["name"], got["current_price"]) == ("1", "Name", 500)
+    assert every(spark, [None, "x"], lambda c: pages.page_state(c, F.lit(None).cast("string"))) == [("stale-sku",), ("stale-sku",)]
+
+
+def test_first_of_a_repeated_key_by_position(spark, tmp_path):
+    rows = planted(spark).filter("sku_id = '1'")
+    both = rows.withColumns({"name": F.lit("later"), "pos": F.lit(2)}).unionByName(rows.withColumns({"name": F.lit("zfirst"), "pos": F.lit(1)}))
+    ledger = Ledger(spark, str(tmp_path))
+    assert [r["name"] for r in ledger.append_snapshots(both, 1).collect()] == ["zfirst"]
+    assert ledger.append_snapshots(both.withColumn("pos", -F.col("pos")), 1).count() == 1 and ledger.append_snapshots(both, 2).count() == 1
+
+
 def test_product_types(spark):
     cases = {
         "парфюмерная вода good girl": "perfume_edp", "туалетная вода chrome": "perfume_edt", "парфюмерныи набор": "set", "рефил крем для рук rose": "cream_hands", "крем основа для области вокруг глаз": "foundation_base_eye", "крем nutri": "cream_face",
