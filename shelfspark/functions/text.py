@@ -43,7 +43,8 @@ def fold(c: Column) -> Column:
     short = F.translate(c, before, after)
     table = F.create_map(*(F.lit(x) for pair in several.items() for x in pair))
     long = F.array_join(F.transform(F.split(short, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
-    return F.when(is_ascii(c), c).when(short.rlike("[" + "".join(several) + "]"), long).otherwise(short)
+    without = F.translate(c, "".join(several), "")
+    return F.when(is_ascii(c), c).when(F.char_length(without) < F.char_length(c), long).otherwise(short)
 
 
 def normalise_name(c: Column) -> Column:

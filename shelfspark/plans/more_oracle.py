@@ -11,9 +11,9 @@ _F = f"""WITH {SNAPSHOTS}, faulty AS (SELECT * REPLACE (CASE WHEN {_N} % 50 = 1
   CASE WHEN {_N} % 40 = 3 THEN '' ELSE brand_norm END AS brand_norm, CASE WHEN {_N} % 60 <> 5 THEN url END AS url) FROM snapshots),
 checked AS (SELECT *, concat_ws(',', CASE WHEN url IS NULL THEN 'url:missing' END, CASE WHEN trim(brand) = '' THEN 'brand:missing' END, CASE WHEN current_price <= 0 THEN 'current_price:not_positive' END,
   CASE WHEN retailer = 'competitor' AND volume_raw IS NULL THEN 'volume_raw:missing' END) AS reasons FROM faulty)"""
-_MONTHS = "months AS (SELECT l_returnflag, (year(l_shipdate) - 1995) * 12 + month(l_shipdate) AS run_id, count(*) AS n FROM lineitem WHERE ((year(l_shipdate) - 1995) * 12 + month(l_shipdate)) % 7 <> 0 GROUP BY 1, 2)"
-_EVENTS = """ledger AS (SELECT o_custkey AS run_id, o_orderkey AS seq, CASE o_orderstatus WHEN 'P' THEN 'create' WHEN 'F' THEN 'finalize' ELSE 'fail' END AS kind,
-  CASE WHEN o_orderpriority < '3' THEN 'success' ELSE 'partial' END AS status, o_orderpriority AS fail_reason FROM orders WHERE o_orderkey % 3 <> 0),
+_MONTHS = "months AS (SELECT l_returnflag, m + m // 6 AS run_id, count(*) AS n FROM (SELECT l_returnflag, (year(l_shipdate) - 1990) * 12 + month(l_shipdate) AS m FROM lineitem) GROUP BY 1, 2)"
+_EVENTS = """ledger AS (SELECT o_custkey AS run_id, o_orderkey AS seq, CASE WHEN o_orderstatus = 'F' THEN 'finalize' WHEN o_orderstatus = 'O' AND o_orderpriority < '2' THEN 'fail' ELSE 'create' END AS kind,
+  CASE WHEN o_orderpriority < '3' THEN 'success' ELSE 'partial' END AS status, o_orderpriority AS fail_reason FROM orders),
 states AS (SELECT run_id, CASE WHEN bool_or(kind = 'fail') THEN 'failed' ELSE coalesce(arg_min(status, seq) FILTER (kind = 'finalize'), 'running') END AS status, arg_max(fail_reason, seq) FILTER (kind = 'fail') AS fail_reason FROM ledger GROUP BY 1)"""
 _STATS = """patches AS (SELECT user_id AS run_id, event_type AS key, CASE WHEN NOT (event_type = 'error' AND value < 5) THEN CAST(props->>'$.k' AS VARCHAR) END AS value, event_id AS seq FROM events),
 stats AS (SELECT run_id, key, arg_max(value, seq) AS value FROM patches WHERE value IS NOT NULL GROUP BY 1, 2)"""
@@ -48,7 +48,7 @@ queue AS (SELECT CAST(2 AS BIGINT) AS run_id, brand AS item, 'unmatched_brand' A
 _LABELS = """labels_ AS (SELECT 'Nation_' || s_suppkey % 30 || CASE s_suppkey % 4 WHEN 0 THEN '_PARIS' WHEN 1 THEN ' House' ELSE '' END AS label, '/brands/' || s_suppkey AS path, s_suppkey AS pos, 'nation' || s_suppkey % 30 || CASE s_suppkey % 4 WHEN 1 THEN 'house' ELSE '' END AS key FROM supplier),
 firsts AS (SELECT key, arg_min(label, pos) AS label, arg_min(path, pos) AS path, min(pos) AS pos FROM labels_ GROUP BY 1),
 named AS (SELECT n_name || ' Beauty' AS brand, 'nation_' || n_nationkey AS raw, 'nation' || n_nationkey AS key FROM nation)"""
-_COMP = "c AS (SELECT * FROM raw WHERE run_id = 1 AND retailer = 'competitor')"
+_COMP = "c AS (SELECT * EXCLUDE (run_id, current_price, was_price), min(current_price) AS current_price, min(was_price) AS was_price FROM raw WHERE retailer = 'competitor' GROUP BY ALL)"
 _M = f"WITH {SNAPSHOTS}, {FEATURES}, {MATCHES}"
 _SUMMARY = f"""{_M}, gaps AS (SELECT run_id, count(*) AS n FROM snapshots s WHERE retailer = 'competitor' AND NOT multipack_flag AND stock_state <> 'DELISTED' AND volume_norm IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM matches m WHERE m.run_id = s.run_id AND m.brand_norm = s.brand_norm AND m.name_norm = s.name_norm AND m.volume_norm = s.volume_norm) GROUP BY 1),
@@ -124,7 +124,7 @@ MORE_SQL = {
     "resolved_labels": f"WITH {_LABELS} SELECT brand, named.key, label, path FROM named JOIN firsts USING (key)",
     "fuzzy_labels": f"WITH {_LABELS}, j AS (SELECT brand, named.key AS bk, firsts.key AS lk, label, row_number() OVER (PARTITION BY brand ORDER BY abs(length(firsts.key) - length(named.key)), pos, firsts.key) AS rank FROM named JOIN firsts ON (contains(firsts.key, named.key) OR contains(named.key, firsts.key)) AND length(firsts.key) >= 3) SELECT brand, label, CAST(rank AS INTEGER) AS rank, rank = 1 AND (starts_with(lk, bk) OR starts_with(bk, lk)) AS proposed FROM j WHERE rank <= 5",
     "brand_paths": "SELECT c_custkey, 'nation ' || c_nationkey AS brand, CASE WHEN c_nationkey % 5 = 0 THEN 'nation_' || c_nationkey ELSE 'nation-' || c_nationkey END AS path FROM customer",
-    "uncovered_brands": "SELECT DISTINCT 'n' || c_nationkey AS brand FROM customer WHERE c_custkey % 9 >= 5 AND c_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_suppkey % 4 = 0)",
+    "uncovered_brands": "SELECT DISTINCT 'n' || c_nationkey AS brand FROM customer WHERE c_custkey % 9 >= 5 AND c_nationkey NOT IN (SELECT s_nationkey // 2 * 2 FROM supplier)",
     "enumeration_totals": f"WITH {SNAPSHOTS}, f AS (SELECT brand, count(DISTINCT sku_id) AS n FROM raw WHERE retailer = 'competitor' AND stock_state = 'IN_STOCK' GROUP BY 1), t AS (SELECT p_brand AS brand, count(*) * CASE WHEN ends_with(p_brand, '1') THEN 2 ELSE 1 END AS total, count(*) FILTER (p_size > 20) AS fallback FROM part GROUP BY 1) SELECT t.brand, total, coalesce(n, 0) AS found, fallback, coalesce(n, 0) >= 0.8 * total AS complete, CASE WHEN coalesce(n, 0) >= 0.8 * total THEN coalesce(n, 0) ELSE greatest(coalesce(n, 0), fallback) END AS taken FROM t LEFT JOIN f ON f.brand = t.brand",
     "card_products": f"""WITH {SNAPSHOTS}, {_COMP}, o AS (SELECT *, {_N} AS n, CASE WHEN {_N} % 3 <> 0 AND current_price {_SANE} THEN current_price WHEN current_price + {_N} % 2 * 500 {_SANE} THEN current_price + {_N} % 2 * 500 END AS cur FROM c)
       SELECT sku_id, {_H}/' || sku_id AS url, 'Товар ' || brand || ' ' || name AS name, brand AS brand_raw, cur AS current_price,

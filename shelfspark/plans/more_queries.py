@@ -31,9 +31,10 @@ def faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def month_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items by return flag and month of shipping as run counts; each seventh run is missing."""
-    run = ((F.year("l_shipdate") - 1995) * 12 + F.month("l_shipdate")).cast("long")
-    return table(spark, sf_dir, "lineitem").withColumn("run_id", run).filter("run_id % 7 <> 0").groupBy("l_returnflag", "run_id").agg(F.count("*").alias("n"))
+    """All line items by return flag and month of shipping as run counts; a number is left out after every six months."""
+    month = (F.year("l_shipdate") - 1990) * 12 + F.month("l_shipdate")
+    run = (month + F.floor(month / 6)).cast("long")
+    return table(spark, sf_dir, "lineitem").withColumn("run_id", run).groupBy("l_returnflag", "run_id").agg(F.count("*").alias("n"))
 
 
 def thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,11 +44,11 @@ def thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ledger_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as events of runs: pending ones create, finished ones finalise, open ones fail."""
+    """Orders as events of runs: finished ones finalise, urgent open ones fail, all others create."""
     o, s = table(spark, sf_dir, "orders"), F.col("o_orderstatus")
-    kind = F.when(s == "P", "create").when(s == "F", "finalize").otherwise("fail")
+    kind = F.when(s == "F", "finalize").when((s == "O") & (F.col("o_orderpriority") < "2"), "fail").otherwise("create")
     status = F.when(F.col("o_orderpriority") < "3", "success").otherwise("partial")
-    return o.filter(F.col("o_orderkey") % 3 != 0).select(F.col("o_custkey").alias("run_id"), F.col("o_orderkey").alias("seq"), kind.alias("kind"), status.alias("status"), F.col("o_orderpriority").alias("fail_reason"))
+    return o.select(F.col("o_custkey").alias("run_id"), F.col("o_orderkey").alias("seq"), kind.alias("kind"), status.alias("status"), F.col("o_orderpriority").alias("fail_reason"))
 
 
 def current(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,9 +223,9 @@ def brand_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def uncovered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations of customers in the highest four runs (market segments by number) without a supplier of even key."""
+    """Nations of customers in the highest four runs; those with an even number below a supplier's are covered."""
     runs = table(spark, sf_dir, "customer").select((F.col("c_custkey") % 9).alias("run_id"), F.concat(F.lit(" N"), F.col("c_nationkey").cast("string")).alias("brand"))
-    covered = table(spark, sf_dir, "supplier").filter("s_suppkey % 4 = 0").select(F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("brand"))
+    covered = table(spark, sf_dir, "supplier").select(F.concat(F.lit("n"), (F.floor(F.col("s_nationkey") / 2) * 2).cast("string")).alias("brand"))
     return scope.uncovered_brands(history.last_runs(runs), covered)
 
 
@@ -238,8 +239,15 @@ def enumeration_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- nested sources, written from the tables and read back
 
 
+def all_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The competitor's products over all runs, each at its lowest prices."""
+    raw = raw_competitor(spark, sf_dir).drop("run_id")
+    prices = ("current_price", "was_price")
+    return raw.groupBy(*(c for c in raw.columns if c not in prices)).agg(*(F.min(c).alias(c) for c in prices))
+
+
 def card_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listing JSON of the competitor's products of run 1, each with a banner card."""
+    """Listing JSON of all products that the competitor offers, each with a banner card."""
     n = sku_number()
     money = lambda c: F.struct(F.lit("kzt").alias("currency"), c.cast("double").alias("amount"), F.lit(1).alias("denominator"))
     size = F.split("raw_volume_text", " ")
@@ -248,7 +256,7 @@ def card_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.when(n % 3 != 0, money(F.col("current_price"))).alias("actual"), money(F.col("current_price") + n % 2 * 500).alias("regular"), F.when(F.col("was_price").isNotNull(), money(F.col("was_price"))).alias("old")).alias("price"),
         F.struct(F.struct((n % 2 + 1).cast("int").alias("count"), size[0].alias("currentUnitValue"), size[1].alias("name")).alias("units"), F.struct(F.lit(1).alias("count")).alias("colors")).alias("attributes"),
     )
-    rows = raw_competitor(spark, sf_dir).filter("run_id = 1")
+    rows = all_offers(spark, sf_dir)
     card = F.struct(F.array(F.struct(F.lit("product").alias("cardType"), product.alias("product")), F.struct(F.lit("banner").alias("cardType"), product.alias("product"))).alias("cards"))
     return rows.select(F.to_json(F.struct(card.alias("data"))).alias("json")).select(F.from_json("json", listing.CARDS)["data"].alias("data"))
 
@@ -259,7 +267,7 @@ def variant_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(i == 0, F.col("sku_id")).otherwise(F.concat("sku_id", F.lit("-1"))).alias("itemId"), F.col("name").alias("name"), F.lit("").alias("url"), F.lit(True).alias("inStock"),
         F.struct((F.lit(50) * (i + 1)).cast("string").alias("units"), F.when(i == 1, "red").alias("colors")).alias("attributesValue"), F.struct(money(F.col("current_price") + i * 100).alias("actual")).alias("price")))
     page = F.struct(F.struct(F.col("sku_id").alias("itemId"), F.col("brand_raw").alias("brand"), F.lit("Товар").alias("productType"), F.struct(F.struct(F.lit("x").alias("label"), F.lit("мл").alias("unit")).alias("units")).alias("attributes"), variants.alias("variants")).alias("data"))
-    return raw_competitor(spark, sf_dir).filter("run_id = 1").select(F.to_json(page).alias("json")).select(F.from_json("json", listing.VARIANTS)["data"].alias("data"))
+    return all_offers(spark, sf_dir).select(F.to_json(page).alias("json")).select(F.from_json("json", listing.VARIANTS)["data"].alias("data"))
 
 
 def topped_up(spark: SparkSession, sf_dir: str) -> DataFrame:

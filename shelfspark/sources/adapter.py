@@ -108,8 +108,14 @@ def normalise(raw: DataFrame, retailer: str, volume_text: Column | None = None,
     return out if aliases is None else resolve_aliases(out, "brand_norm", aliases)
 
 
+def dealt(products: DataFrame) -> DataFrame:
+    """Products dealt out by their key: a file of them is small, but to normalise one costs more than to move it, and offers are
+    joined on the same key."""
+    return products.repartition(int(products.sparkSession.conf.get("spark.sql.shuffle.partitions")), "sku_id")
+
+
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both sides in both runs. Products are normalised once, before runs multiply them."""
-    base = in_runs(normalise(base_products(spark, sf_dir), BASE))
-    competitor = offered(spark, sf_dir, normalise(competitor_products(spark, sf_dir), COMPETITOR))
+    base = in_runs(normalise(dealt(base_products(spark, sf_dir)), BASE))
+    competitor = offered(spark, sf_dir, normalise(dealt(competitor_products(spark, sf_dir)), COMPETITOR))
     return base.select(*SNAPSHOT_ROW).unionByName(competitor.select(*SNAPSHOT_ROW))
