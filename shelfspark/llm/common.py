@@ -1,60 +1,13 @@
-"""Helpers shared by the text operators: cut lineage in shared storage, hide input columns, number rows."""
+"""Helpers shared by the text operators: hide input columns, number rows; and tables in shared storage."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-_local_dirs: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir; a temporary one only for a local master that has none."""
-    sc = spark.sparkContext
-    if configured := sc.getConf().get("spark.checkpoint.dir"):
-        return configured
-    if not sc.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    if sc.applicationId not in _local_dirs:
-        _local_dirs[sc.applicationId] = made = tempfile.mkdtemp(prefix="spark-")
-        atexit.register(shutil.rmtree, made, True)
-    return f"file://{_local_dirs[sc.applicationId]}"
-
+from shelfspark.storage import materialise, scratch
 
-_scratch: list[list[str]] = []
-
-
-def materialise(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it again: lineage ends there, so a lost executor costs only tasks of the current job.
-
-    Inside of `scratch` the table is deleted at its end, unless it is to be kept for a result that is read later.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    if _scratch and not keep:
-        _scratch[-1].append(path)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-@contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Deletes at its end what materialise wrote in between and nobody reads any more."""
-    _scratch.append([])
-    try:
-        yield
-    finally:
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-        for name in _scratch.pop():
-            path = hadoop.Path(name)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+__all__ = ["hide", "materialise", "numbered", "restore", "scratch", "shuffle_partitions", "slices_for"]
 
 
 def hide(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
