@@ -37,6 +37,8 @@ from shelfspark.llm.common import materialise, scratch, shuffle_partitions
 from shelfspark.llm.components import connected_components
 from shelfspark.llm.textbytes import U, binary_column, matrix, mix, ragged_binary, shingle_sets, text_chunks
 
+#: Words of a shingle, unless the caller says otherwise.
+WORDS = 5
 TREES = 12
 TOKENS_A_TREE = 8
 DIGITS = 256
@@ -97,26 +99,29 @@ def _classes(sets: np.ndarray, off: np.ndarray, n: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for lo, hi, buf, row_off in text_chunks(batch.column("text")):
-            sets, off = shingle_sets(buf, row_off)
-            n = np.diff(off)
-            some = n > 0
-            tokens = _minima(sets, np.append(off[:-1][some], len(sets))) if some.any() else np.zeros((0, DIGITS), np.uint32)
-            # the low bits of a minimum lean to small values in no way that the top bits do
-            low = (mix(tokens.astype(U)) & U(15)).astype(np.uint8)
-            digits = np.zeros((hi - lo, DIGITS // 2), np.uint8)
-            digits[some] = low[:, 0::2] | (low[:, 1::2] << 4)
-            flat, counts = _nodes(tokens)
-            per_row = np.zeros(hi - lo, np.int64)
-            per_row[some] = counts
-            nodes = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_row)]).astype(np.int32)), pa.array(flat.view(np.int64)))
-            part = batch.slice(lo, hi - lo)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("key"), part.column("doc_id"), pa.array(n), binary_column(_classes(sets, off, n).view(np.uint8).reshape(-1, 16)), binary_column(digits), nodes],
-                names=["key", "doc_id", "n", "cls", "digits", "nodes"],
-            )
+def _sketch(words: int):
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, buf, row_off in text_chunks(batch.column("text")):
+                sets, off = shingle_sets(buf, row_off, words)
+                n = np.diff(off)
+                some = n > 0
+                tokens = _minima(sets, np.append(off[:-1][some], len(sets))) if some.any() else np.zeros((0, DIGITS), np.uint32)
+                # the low bits of a minimum lean to small values in no way that the top bits do
+                low = (mix(tokens.astype(U)) & U(15)).astype(np.uint8)
+                digits = np.zeros((hi - lo, DIGITS // 2), np.uint8)
+                digits[some] = low[:, 0::2] | (low[:, 1::2] << 4)
+                flat, counts = _nodes(tokens)
+                per_row = np.zeros(hi - lo, np.int64)
+                per_row[some] = counts
+                nodes = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_row)]).astype(np.int32)), pa.array(flat.view(np.int64)))
+                part = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("key"), part.column("doc_id"), pa.array(n), binary_column(_classes(sets, off, n).view(np.uint8).reshape(-1, 16)), binary_column(digits), nodes],
+                    names=["key", "doc_id", "n", "cls", "digits", "nodes"],
+                )
+
+    return step
 
 
 def _agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -371,15 +376,19 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from whole(carried)
 
 
-def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _full_sets(words: int):
     """The full sets of the texts whose class is the wanted one (a repeated doc_id may bring others)."""
-    for batch in batches:
-        for lo, hi, buf, row_off in text_chunks(batch.column("text")):
-            sets, off = shingle_sets(buf, row_off)
-            cls = binary_column(_classes(sets, off, np.diff(off)).view(np.uint8).reshape(-1, 16))
-            out = pa.RecordBatch.from_arrays([cls, ragged_binary(sets, off)], names=["cls", "grams"])
-            want = batch.slice(lo, hi - lo).column("want")
-            yield out.filter(pa.array([x == y for x, y in zip(cls.to_pylist(), want.to_pylist(), strict=True)], pa.bool_()))
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, buf, row_off in text_chunks(batch.column("text")):
+                sets, off = shingle_sets(buf, row_off, words)
+                cls = binary_column(_classes(sets, off, np.diff(off)).view(np.uint8).reshape(-1, 16))
+                out = pa.RecordBatch.from_arrays([cls, ragged_binary(sets, off)], names=["cls", "grams"])
+                want = batch.slice(lo, hi - lo).column("want")
+                yield out.filter(pa.array([x == y for x, y in zip(cls.to_pylist(), want.to_pylist(), strict=True)], pa.bool_()))
+
+    return step
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -464,13 +473,13 @@ def settled(partial: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
     return materialise(_by_node(_dealt(rows).join(sets, "cls")).mapInArrow(_settle, "u binary, v binary"), "links")
 
 
-def full_sets(wanted: DataFrame, classes: DataFrame, keyed: DataFrame) -> DataFrame:
+def full_sets(wanted: DataFrame, classes: DataFrame, keyed: DataFrame, words: int) -> DataFrame:
     """(cls, grams) for every class of wanted(cls), built from the texts of keyed(key, text)."""
     wanted = materialise(wanted.select(F.col("cls").alias("want")).distinct().join(classes.select(F.col("cls").alias("want"), "key"), "want"), "wanted")
     # few wanted texts are picked where they lie; for many, texts are shuffled once
     small = wanted.count() <= BROADCAST_ROWS
     found = keyed.select("key", "text").join(F.broadcast(wanted) if small else wanted, "key")
-    return materialise(found.mapInArrow(_full_sets, "cls binary, grams binary").groupBy("cls").agg(F.min("grams").alias("grams")), "sets")
+    return materialise(found.mapInArrow(_full_sets(words), "cls binary, grams binary").groupBy("cls").agg(F.min("grams").alias("grams")), "sets")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -480,10 +489,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return materialise(both.select(F.col("a").alias("u"), F.col("b").alias("v"), "ga", "gb").mapInArrow(_confirm, "u binary, v binary"), "links")
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, class_id, class_links) for each row of docs.
 
-    A set holds the distinct 2-word shingles of the whole text, lower-cased in A-Z only; a single word is its own
+    A set holds the distinct shingles of so many words of the whole text, lower-cased in A-Z only; fewer words are one
     shingle. Documents are linked at Jaccard similarity 0.8 or more. class_id names the set (hex), class_links counts
     the confirmed links that were drawn from it to other sets (a spanning selection, not all that exist).
 
@@ -494,7 +503,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     """
     given = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     keyed = given.withColumn("key", F.coalesce("doc_id", F.xxhash64("text")))
-    sketched = materialise(keyed.mapInArrow(_sketch, SKETCH_SCHEMA), "sketches", keep=True)
+    sketched = materialise(keyed.mapInArrow(_sketch(words), SKETCH_SCHEMA), "sketches", keep=True)
     with scratch(docs.sparkSession):
         whole = sketched.filter("n > 0")
         classes = whole.groupBy("cls").agg(F.min("doc_id").alias("least"), F.min(F.struct("key", "n", "digits", "nodes")).alias("x")).select("cls", "least", "x.*")
@@ -502,7 +511,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
         pairs, partial = candidate_pairs(classes.select("cls", "n", "digits", "nodes"))
         pairs = materialise(pairs, "pairs")
         ends = [pairs.select(F.col(c).alias("cls")) for c in "ab"]
-        sets = full_sets(reduce(DataFrame.union, [*ends, partial.select("cls")]), classes, keyed)
+        sets = full_sets(reduce(DataFrame.union, [*ends, partial.select("cls")]), classes, keyed, words)
         links = confirmed(pairs, sets)
         roots = connected_components(links)
         if not partial.isEmpty():

@@ -101,24 +101,25 @@ def kgrams(h: np.ndarray, k: int) -> np.ndarray:
     return g
 
 
-def shingle_sets(buf: np.ndarray, row_off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct 2-word shingles of each row as sorted hashes, and the row offsets into them.
+def shingle_sets(buf: np.ndarray, row_off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct k-word shingles of each row as sorted hashes, and the row offsets into them.
 
-    Words are runs of non-blank bytes. A row with one word has that word as its only shingle; one without words has none.
+    Words are runs of non-blank bytes. A row with fewer words has all of them as its only shingle; one without words has none.
     """
     s, ln, first = words(buf, row_off, NOT_BLANK)
     h = hash_words(buf, s, ln)
     per_row = np.diff(first)
     if len(h) == 0:
         return np.zeros(0, U), np.zeros(len(row_off), np.int64)
-    pair = np.empty(len(h), U)
-    pair[:-1] = mix(mix(h[:-1] + U(0x632BE59BD9B4E019)) * U(0x9E3779B97F4A7C15) + h[1:])
-    keep = np.ones(len(h), bool)
-    keep[first[1:][per_row > 1] - 1] = False
-    alone = first[:-1][per_row == 1]
-    pair[alone] = mix(h[alone] ^ U(0xD1B54A32D192ED03))
-    grams = pair[keep]
-    off = np.concatenate([[0], np.cumsum(np.where(per_row > 1, per_row - 1, per_row))])
+    size = np.minimum(per_row, k)
+    many = per_row - size + (per_row > 0)
+    off = np.concatenate([[0], np.cumsum(many)])
+    at = np.arange(off[-1]) + np.repeat(first[:-1] - off[:-1], many)
+    size = np.repeat(size, many)
+    grams = mix(h[at] + size.astype(U) * U(0x632BE59BD9B4E019))
+    for j in range(1, k):
+        more = np.flatnonzero(size > j)
+        grams[more] = mix(grams[more] * U(0x9E3779B97F4A7C15) + h[at[more] + j])
     for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
         grams[a:b].sort()
     new = np.ones(len(grams), bool)

@@ -125,13 +125,13 @@ def test_url_rules(spark):
 # ---- near duplicates
 
 
-def shingles(text):
+def shingles(text, k):
     w = re.findall(r"[^\x20\x09-\x0D]+", lower(text))
-    return frozenset(zip(w, w[1:])) if len(w) > 1 else frozenset([tuple(w)] if w else [])
+    return frozenset(tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))) if w else frozenset()
 
 
-def brute_components(rows):
-    sets = [(i, shingles(t)) for i, t in rows]
+def brute_components(rows, k):
+    sets = [(i, shingles(t, k)) for i, t in rows]
     parent = list(range(len(sets)))
 
     def root(x):
@@ -152,16 +152,17 @@ def brute_components(rows):
     return [(i, len(s), least.get(root(a))) for a, (i, s) in enumerate(sets)]
 
 
-@pytest.mark.parametrize("node_rows", [2500, 6])
-def test_near_duplicates_against_all_pairs(spark, monkeypatch, node_rows):
+@pytest.mark.parametrize(("node_rows", "k"), [(2500, 2), (6, 2), (2500, 5)])
+def test_near_duplicates_against_all_pairs(spark, monkeypatch, node_rows, k):
     monkeypatch.setattr("shelfspark.llm.near_dup.NODE_ROWS", node_rows)
     monkeypatch.setattr("shelfspark.llm.near_dup.BLOCK_ROWS", 40)
     rng = random.Random(3)
     base = [f"w{rng.randrange(400)}" for _ in range(120)]
-    near = [(1000 + i, " ".join(f"z{i}" if rng.random() < 0.03 else x for x in base)) for i in range(60)]
+    near = [(1000 + i, " ".join(f"z{i}" if rng.random() < 0.06 / k else x for x in base)) for i in range(60)]
     rows = [(r["doc_id"], r["text"]) for r in docs_of(spark).collect()] + near + [(5000 + i, near[0][1].upper()) for i in range(30)]
-    out = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    expected = {i: (n, c) for i, n, c in brute_components(rows)}
+    rows += [(6000, "one"), (6001, "One"), (6002, "one two three"), (6003, "one two three four five"), (6004, "one  two\tTHREE")]
+    out = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=k).collect()
+    expected = {i: (n, c) for i, n, c in brute_components(rows, k)}
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == expected
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in out)
 
@@ -185,9 +186,9 @@ def two_groups(rng, name, size, first):
 def test_near_duplicates_of_one_link_among_many_candidates(spark):
     rng = random.Random(5)
     rows = [x for f in range(4) for x in two_groups(rng, f"f{f}", 60, 1000 * f)]
-    out = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    out = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()
     assert {r["doc_id"]: r["component_id"] for r in out} == {i: i // 1000 * 1000 for i, _ in rows}
-    assert {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in out} == set(brute_components(rows))
+    assert {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in out} == set(brute_components(rows, 2))
 
 
 def test_near_duplicates_across_the_blocks_of_large_nodes(spark, monkeypatch):
@@ -195,15 +196,16 @@ def test_near_duplicates_across_the_blocks_of_large_nodes(spark, monkeypatch):
     monkeypatch.setattr("shelfspark.llm.near_dup.BLOCK_ROWS", 1)
     rng = random.Random(5)
     rows = [x for f in range(8) for x in two_groups(rng, f"f{f}", 24, 1000 * f)]
-    out = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    out = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()
     assert {r["doc_id"]: r["component_id"] for r in out} == {i: i // 1000 * 1000 for i, _ in rows}
 
 
-def test_near_duplicates_awkward(spark):
+@pytest.mark.parametrize("k", [2, 5])
+def test_near_duplicates_awkward(spark, k):
     docs = awkward(spark)
-    out = near_duplicates(docs).collect()
+    out = near_duplicates(docs, words=k).collect()
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out if r["n_shingles"]) == Counter(x for x in brute_components(rows) if x[1])
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out if r["n_shingles"]) == Counter(x for x in brute_components(rows, k) if x[1])
     assert all(r["kept"] and r["component_id"] == r["doc_id"] for r in out if not r["n_shingles"])
     assert near_duplicates(docs.limit(0)).count() == 0
 

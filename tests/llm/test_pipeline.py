@@ -21,7 +21,7 @@ def test_stages(spark):
 
     single = spark.createDataFrame(steps["near_dedup"](spark, good, SMALL).collect(), docs.schema)
     rows = [(r["doc_id"], r["text"]) for r in good.collect()]
-    assert sorted(r["doc_id"] for r in single.collect()) == sorted(i for i, _, c in brute_components(rows) if i == c)
+    assert sorted(r["doc_id"] for r in single.collect()) == sorted(i for i, _, c in brute_components(rows, 5) if i == c)
 
     clean = spark.createDataFrame(steps["decontamination"](spark, single, SMALL).collect(), docs.schema)
     items = [(r["item_id"], r["text"]) for r in table(spark, SMALL, "benchmark").collect()]
