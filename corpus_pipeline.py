@@ -27,8 +27,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id. Rows that repeat its id stay, too."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__kept_id")).distinct()
+    """One document of each group of near duplicates (five-word shingles, similarity 0.8 or more): the one with the smallest id. Rows that
+    repeat its id stay, too."""
+    kept = near_duplicates(docs, words=5).filter("kept").select(F.col("doc_id").alias("__kept_id")).distinct()
     rows, names = hide(docs)
     return restore(rows.join(kept, F.col(names["doc_id"]).eqNullSafe(F.col("__kept_id")), "left_semi"), names)
 
