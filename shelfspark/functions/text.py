@@ -41,7 +41,8 @@ def fold(c: Column) -> Column:
     where one decomposes to several."""
     before, after, several = _folds()
     short = F.translate(c, before, after)
-    table = F.create_map(*(F.lit(x) for pair in several.items() for x in pair))
+    # one literal, which the optimiser turns into the map; private-use characters part its entries
+    table = F.str_to_map(F.lit("\ue000".join(f"{a}\ue001{b}" for a, b in several.items())), F.lit("\ue000"), F.lit("\ue001"))
     long = F.array_join(F.transform(F.split(short, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
     without = F.translate(c, "".join(several), "")
     return F.when(is_ascii(c), c).when(F.char_length(without) < F.char_length(c), long).otherwise(short)
