@@ -61,6 +61,8 @@ def test_folding(spark):
     plain = lambda x: "".join(y for y in unicodedata.normalize("NFKD", x.lower()) if not unicodedata.combining(y))
     cases = ["ﬁne ﬂower", "½ l", "Ǆ…", "３５ ｍｌ", "Éa ﬀ №", "plain", "㎡ x", "ё й"]
     assert every(spark, cases, lambda c: text.fold(F.lower(c))) == [(plain(x),) for x in cases]
+    letters = [f"a{chr(k)}b" for k in (*range(0xA0, 0x3400), *range(0xFB00, 0xFB50)) if len(text._plain(chr(k))) > 1]
+    assert len(letters) > 500 and every(spark, letters, text.fold) == [(text._plain(x),) for x in letters]
     assert every(spark, ["Été — ½ ﬁn!", "A  b\t,c", None], text.normalise_name) == [("ete 1 2 fin",), ("a b c",), ("",)]
 
 
