@@ -7,13 +7,18 @@ from pyspark.sql import functions as F
 
 from shelfspark.storage import materialise, scratch
 
-__all__ = ["hide", "materialise", "numbered", "restore", "scratch", "shuffle_partitions", "slices_for"]
+__all__ = ["column", "hide", "materialise", "numbered", "restore", "scratch", "shuffle_partitions", "slices_for"]
+
+
+def column(name: str) -> Column:
+    """The column of that name, whatever characters the name has."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def hide(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """df with its columns renamed to names that no operator uses, and the new name of each; pruning still reaches the scan."""
     names = {c: f"__in{i}" for i, c in enumerate(df.columns)}
-    return df.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items())), names
+    return df.select(*(column(c).alias(n) for c, n in names.items())), names
 
 
 def restore(df: DataFrame, names: dict[str, str], *results: str) -> DataFrame:

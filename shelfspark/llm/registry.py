@@ -16,6 +16,7 @@ from shelfspark.llm.near_dup import near_duplicates
 from shelfspark.llm.ngrams import fold
 from shelfspark.llm.sharding import shard
 from shelfspark.llm.url_filter import filter_urls
+from shelfspark.llm.vector_codes import compress_vectors
 
 N_SHARDS = 16
 URL_RULES = [
@@ -81,12 +82,18 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_chats(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(more)), in_order=True)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = compress_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     return {
         "pipeline": corpus_pipeline.run, "op1_sharding": op1_sharding, "op2_url_filter": op2_url_filter, "op3_near_dedup": op3_near_dedup, "op4_language_id": op4_language_id,
         "op5_exact_dedup": op5_exact_dedup, "op6_quality": op6_quality, "op7_decontamination": op7_decontamination, "op8_toxicity": op8_toxicity, "op9_mixing": op9_mixing, "op10_chat_format": op10_chat_format,
+        "op11_vector_codes": op11_vector_codes,
     }
 
 
@@ -129,5 +136,33 @@ FROM written GROUP BY conv_id
 """
 
 
+def op11_sql(parts: int = 4, entries: int = 256, rounds: int = 4, scale: int = 1024) -> str:
+    """Exhaustive search of the nearest entries, one step of the CTE chain for each round."""
+    steps = []
+    for r in range(rounds + 1):
+        book = f"book{r}"
+        steps.append(
+            f"near{r} AS MATERIALIZED (SELECT id, part, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM (SELECT p.id, p.part, b.entry, "
+            f"CAST(list_sum([(p.v[i] - b.v[i]) * (p.v[i] - b.v[i]) FOR i IN range(1, len(p.v) + 1)]) AS BIGINT) AS d FROM pieces p JOIN {book} b USING (part)) GROUP BY id, part)"
+        )
+        if r < rounds:
+            steps.append(
+                f"moved{r} AS MATERIALIZED (SELECT part, entry, list(m ORDER BY i) AS v FROM (SELECT n.part, n.entry, i, CAST(floor(sum(v[i]) / count(*)) AS BIGINT) AS m "
+                f"FROM near{r} n JOIN pieces p ON p.id = n.id AND p.part = n.part, range(1, (SELECT max(len(v)) FROM pieces) + 1) t(i) GROUP BY ALL) GROUP BY part, entry), "
+                f"book{r + 1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.v, b.v) AS v FROM {book} b LEFT JOIN moved{r} m USING (part, entry))"
+            )
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, [CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v, row_number() OVER (ORDER BY vec_id) AS id
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pieces AS MATERIALIZED (SELECT id, part, v[part * len(v) // {parts} + 1 : (part + 1) * len(v) // {parts}] AS v FROM kept, range({parts}) t(part)),
+book0 AS MATERIALIZED (SELECT part, id - 1 AS entry, v FROM pieces WHERE id <= {entries}),
+{', '.join(steps)},
+digest AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book{rounds}),
+coded AS (SELECT id, string_agg(printf('%02x', CAST(entry AS INTEGER)), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM near{rounds} GROUP BY id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM kept JOIN coded USING (id), digest
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": OP2_SQL, "op5_exact_dedup": OP5_SQL, "op10_chat_format": OP10_SQL}
+    return {"op2_url_filter": OP2_SQL, "op5_exact_dedup": OP5_SQL, "op10_chat_format": OP10_SQL, "op11_vector_codes": op11_sql()}
