@@ -14,6 +14,7 @@ from shelfspark.llm.exact_dup import exact_duplicates
 from shelfspark.llm.mixing import mix_sources, word_count
 from shelfspark.llm.near_dup import near_duplicates
 from shelfspark.llm.ngrams import fold
+from shelfspark.llm.repeats import remove_repeats
 from shelfspark.llm.sharding import shard
 from shelfspark.llm.url_filter import filter_urls
 from shelfspark.llm.vector_codes import compress_vectors
@@ -87,13 +88,18 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     return {
         "pipeline": corpus_pipeline.run, "op1_sharding": op1_sharding, "op2_url_filter": op2_url_filter, "op3_near_dedup": op3_near_dedup, "op4_language_id": op4_language_id,
         "op5_exact_dedup": op5_exact_dedup, "op6_quality": op6_quality, "op7_decontamination": op7_decontamination, "op8_toxicity": op8_toxicity, "op9_mixing": op9_mixing, "op10_chat_format": op10_chat_format,
-        "op11_vector_codes": op11_vector_codes,
+        "op11_vector_codes": op11_vector_codes, "op13_substring_dedup": op13_substring_dedup,
     }
 
 
@@ -164,5 +170,16 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
 """
 
 
+OP13_SQL = r"""
+WITH worded AS (SELECT doc_id, row_number() OVER () AS id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+starts AS (SELECT id, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM worded, range(1, len(w) - 33) t(i)),
+repeated AS (SELECT id, i FROM starts WHERE h IN (SELECT h FROM starts GROUP BY h HAVING count(*) > 1)),
+words AS (SELECT id, i, w[i] AS word FROM worded, range(1, len(w) + 1) t(i)),
+judged AS (SELECT id, i, word, count(r.i) OVER (PARTITION BY id ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) > 0 AS gone FROM words LEFT JOIN repeated r USING (id, i)),
+kept AS (SELECT id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM judged GROUP BY id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM worded LEFT JOIN kept USING (id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": OP2_SQL, "op5_exact_dedup": OP5_SQL, "op10_chat_format": OP10_SQL, "op11_vector_codes": op11_sql()}
+    return {"op2_url_filter": OP2_SQL, "op5_exact_dedup": OP5_SQL, "op10_chat_format": OP10_SQL, "op11_vector_codes": op11_sql(), "op13_substring_dedup": OP13_SQL}

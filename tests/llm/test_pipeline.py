@@ -47,5 +47,5 @@ def test_stages_on_nothing_and_on_clashing_columns(spark):
 
 def test_registry(spark):
     q = queries()
-    assert [k for k in q if k.startswith("op")] and {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in q if k.startswith("op")} and "pipeline" in q
+    assert [k for k in q if k.startswith("op")] and {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in q if k.startswith("op")} and "pipeline" in q
     assert set(oracle_sql()) <= set(q) and corpus_pipeline.ORACLE_SQL is None
