@@ -14,6 +14,7 @@ from shelfspark.llm.exact_dup import exact_duplicates
 from shelfspark.llm.mixing import mix_sources, word_count
 from shelfspark.llm.near_dup import near_duplicates
 from shelfspark.llm.ngrams import fold
+from shelfspark.llm.repair import damage, repair_report
 from shelfspark.llm.repeats import remove_repeats
 from shelfspark.llm.sharding import shard
 from shelfspark.llm.url_filter import filter_urls
@@ -88,6 +89,11 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair_report(damage(turns), turns)
+
+
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -99,7 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "pipeline": corpus_pipeline.run, "op1_sharding": op1_sharding, "op2_url_filter": op2_url_filter, "op3_near_dedup": op3_near_dedup, "op4_language_id": op4_language_id,
         "op5_exact_dedup": op5_exact_dedup, "op6_quality": op6_quality, "op7_decontamination": op7_decontamination, "op8_toxicity": op8_toxicity, "op9_mixing": op9_mixing, "op10_chat_format": op10_chat_format,
-        "op11_vector_codes": op11_vector_codes, "op13_substring_dedup": op13_substring_dedup,
+        "op11_vector_codes": op11_vector_codes, "op12_conversation_repair": op12_conversation_repair, "op13_substring_dedup": op13_substring_dedup,
     }
 
 
@@ -170,6 +176,45 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
 """
 
 
+OP12_SQL = r"""
+WITH RECURSIVE ids AS MATERIALIZED (SELECT conv_id, row_number() OVER () AS c FROM (SELECT DISTINCT conv_id FROM conversations)),
+named AS (SELECT c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(v.conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+          FROM conversations v JOIN ids ON v.conv_id IS NOT DISTINCT FROM ids.conv_id),
+hashed AS (SELECT *, xor(4294967295, list_reduce([CAST(4294967295 AS BIGINT)] || [CAST(ord(k[i]) AS BIGINT) FOR i IN range(1, length(k) + 1)],
+             lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END))) % 20 AS kind FROM named),
+damaged AS (SELECT c, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM hashed, range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END) WHERE kind > 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+judged AS MATERIALIZED (
+  SELECT *, substr(role, 1, 1) AS initial, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' END AS fault,
+    lag(substr(role, 1, 1)) OVER (PARTITION BY c ORDER BY i) || substr(role, 1, 1) AS two FROM placed),
+report AS (SELECT c, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+             count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (two NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY c),
+costs AS (SELECT c, i, initial, CASE WHEN fault IN ('blank', 'duplicate') THEN 1000000 WHEN fault = 'truncated' THEN 5 ELSE 0 END AS late, role, text FROM judged),
+back(c, i, g) AS (
+  SELECT c, n + 1, [0, 10, 5, 0] FROM report
+  UNION ALL
+  SELECT c, i, [least(h0, 5 + h2, 10 + h3), least(h1, 5 + h2, 10 + h3), least(h2, 5 + h3), least(h3, 5 + h2)] FROM (
+    SELECT r.c, r.i, least(2 + g[1], 1 + late + g[3], CASE initial WHEN 's' THEN late + g[2] WHEN 'u' THEN late + g[3] END) AS h0, least(2 + g[2], 1 + late + g[3], CASE initial WHEN 'u' THEN late + g[3] END) AS h1,
+      least(2 + g[3], 1 + late + g[4], CASE initial WHEN 'a' THEN late + g[4] END) AS h2, least(2 + g[4], 1 + late + g[3], CASE initial WHEN 'u' THEN late + g[3] END) AS h3
+    FROM back b JOIN costs r ON r.c = b.c AND r.i = b.i - 1)),
+states AS MATERIALIZED (SELECT b.c, b.i, b.g, n.g AS h, initial, late, role, text FROM back b LEFT JOIN back n ON n.c = b.c AND n.i = b.i + 1 LEFT JOIN costs r ON r.c = b.c AND r.i = b.i),
+trace(c, i, st, audit, said) AS (
+  SELECT c, 1, 1, '', CAST([] AS VARCHAR[]) FROM report
+  UNION ALL
+  SELECT c, CASE op WHEN 'I' THEN i ELSE i + 1 END, CASE op WHEN 'D' THEN st WHEN 'K' THEN kept_to ELSE new_to END, audit || op,
+    CASE op WHEN 'D' THEN said ELSE list_append(said, CASE op WHEN 'K' THEN role WHEN 'I' THEN new_role ELSE new_role END || ':' || CASE op WHEN 'I' THEN '' ELSE text END) END FROM (
+    SELECT *, CASE WHEN 2 + h[st] = g[st] THEN 'D' WHEN 5 + g[new_to] = g[st] THEN 'I' WHEN late + h[kept_to] = g[st] THEN 'K' ELSE 'R' END AS op FROM (
+      SELECT t.*, s.g, s.h, s.late, s.role, s.text, CASE st WHEN 3 THEN 4 ELSE 3 END AS new_to, CASE st WHEN 3 THEN 'assistant' ELSE 'user' END AS new_role,
+        CASE WHEN initial = 's' AND st = 1 THEN 2 WHEN initial = 'u' AND st <> 3 THEN 3 WHEN initial = 'a' AND st = 3 THEN 4 END AS kept_to
+      FROM trace t JOIN states s ON s.c = t.c AND s.i = t.i WHERE s.h IS NOT NULL OR st IN (2, 3)))),
+ends AS (SELECT c, max_by(audit, length(audit)) AS audit, max_by(said, length(audit)) AS said FROM trace GROUP BY c)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(coalesce(b.g[1], 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(said, chr(10)), '')) AS repaired_sha256
+FROM ids LEFT JOIN report USING (c) LEFT JOIN ends USING (c) LEFT JOIN back b ON b.c = ids.c AND b.i = 1
+"""
+
 OP13_SQL = r"""
 WITH worded AS (SELECT doc_id, row_number() OVER () AS id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
 starts AS (SELECT id, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM worded, range(1, len(w) - 33) t(i)),
@@ -182,4 +227,4 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_re
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": OP2_SQL, "op5_exact_dedup": OP5_SQL, "op10_chat_format": OP10_SQL, "op11_vector_codes": op11_sql(), "op13_substring_dedup": OP13_SQL}
+    return {"op2_url_filter": OP2_SQL, "op5_exact_dedup": OP5_SQL, "op10_chat_format": OP10_SQL, "op11_vector_codes": op11_sql(), "op12_conversation_repair": OP12_SQL, "op13_substring_dedup": OP13_SQL}
