@@ -7,8 +7,9 @@ that share one anchor follow each other: an anchor owns a stretch of at most win
 1. Seed. Each anchor is one row: its k-gram, its text and stretch, and a hash of all words of its stretch (its kind). Anchors whose
    k-gram occurs once in the corpus can't be repeated and go.
 2. Extend. Anchors of one kind agree in all words to both sides, so a kind that occurs twice is repeated as a whole; copies of a text
-   or passage are settled here, one row an anchor. Where a k-gram occurs in several kinds, a passage begins or ends somewhere in them:
-   each kind is looked up in one text that has it, and its windows are compared one by one with those of the other kinds.
+   or passage are settled here, one row an anchor. Where a k-gram occurs in several kinds, a passage may begin or end in them: each
+   kind is looked up in one text that has it. A window that two kinds share reaches at least half of its other words to the left or to the right
+   of the anchor, so kinds that share neither half with another are done; the windows of all others are compared one by one.
 3. Repeated windows of a text are merged into maximal stretches, and its rows take them by two 64-bit hashes of the text.
 
 Groups are only counted and joined, never paired: rows grow with the words, however often a passage occurs.
@@ -17,6 +18,7 @@ Groups are only counted and joined, never paired: rows grow with the words, howe
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,16 +27,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from shelfspark.llm.common import hide, materialise, restore, scratch
+from shelfspark.llm.decontaminate import Gate, _bitmap
 from shelfspark.llm.textbytes import NOT_BLANK, U, hash_words, mix, text_chunks, words
 
 WINDOW = 35
 K = 8
 #: Tables up to this size are broadcast to the texts, larger ones are joined by a shuffle.
 BROADCAST_BYTES = 8 << 20
+#: Bits of a bitmap for each place that is looked up, and the most it has (16 MB); more places are joined with the texts.
+BITS_A_PLACE, MOST_BITS = 8, 1 << 27
 _STEP, _OTHER = U(0x9E3779B97F4A7C15), U(0x6A09E667F3BCC909)
 
 ANCHOR_SCHEMA = "t1 long, t2 long, at int, n int, h long, kind long"
-WINDOW_SCHEMA = "w1 long, w2 long, h long, kind long, off int, single boolean"
+LOOK_SCHEMA = "h long, kind long, sides array<long>, w1 array<long>, w2 array<long>"
 SPAN_SCHEMA = "t1 long, t2 long, spans array<struct<at:int,len:int>>"
 
 
@@ -69,52 +74,93 @@ def window_starts(first: np.ndarray, window: int) -> np.ndarray:
     return at[at + window <= end]
 
 
+@dataclass(frozen=True)
+class Stretches:
+    """The anchors of some texts and the stretches of window starts that they own."""
+
+    h: np.ndarray  # hashes of words
+    row: np.ndarray  # text of each stretch
+    first: np.ndarray  # first window start
+    last: np.ndarray
+    anchor: np.ndarray
+    at: np.ndarray  # first start within the text
+    gram: np.ndarray  # hash of the anchor
+    kind: np.ndarray  # hash of all words of the stretch, and of the anchor's place
+
+    @staticmethod
+    def of(buf: np.ndarray, off: np.ndarray, window: int, k: int) -> Stretches | None:
+        s, ln, first = words(buf, off, NOT_BLANK)
+        starts = window_starts(first, window)
+        if not len(starts):
+            return None
+        h = hash_words(buf, s, ln)
+        gram, whole = span_hash(h, k), span_hash(h, window)
+        anchor = least_places(gram, window - k + 1)[starts]
+        begin = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+        a, b, p = starts[begin], starts[np.append(begin[1:], len(starts)) - 1], anchor[begin]
+        # fewer starts than words in a window: the first and last window hold all words of the stretch
+        kind = mix(mix(whole[a] * _STEP + whole[b]) + (b - a).astype(U) * _OTHER + (p - a).astype(U))
+        row = np.searchsorted(first, a, "right") - 1
+        return Stretches(h, row, a, b, p, a - first[row], gram[p], kind)
+
+
 def _anchors(window: int, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             t1, t2 = np.asarray(batch.column("t1")), np.asarray(batch.column("t2"))
             for lo, _, buf, off in text_chunks(batch.column("text"), lower=False):
-                s, ln, first = words(buf, off, NOT_BLANK)
-                starts = window_starts(first, window)
-                if not len(starts):
-                    continue
-                h = hash_words(buf, s, ln)
-                gram, whole = span_hash(h, k), span_hash(h, window)
-                anchor = least_places(gram, window - k + 1)[starts]
-                begin = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-                a, b, p = starts[begin], starts[np.append(begin[1:], len(starts)) - 1], anchor[begin]
-                # fewer starts than words in a window: the first and last window hold all words of the stretch
-                kind = mix(mix(whole[a] * _STEP + whole[b]) + (b - a).astype(U) * _OTHER + (p - a).astype(U))
-                row = np.searchsorted(first, a, "right") - 1
-                out = [t1[lo + row], t2[lo + row], (a - first[row]).astype(np.int32), (b - a + 1).astype(np.int32), gram[p].view(np.int64), kind.view(np.int64)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["t1", "t2", "at", "n", "h", "kind"])
+                if (x := Stretches.of(buf, off, window, k)) is not None:
+                    out = [t1[lo + x.row], t2[lo + x.row], x.at.astype(np.int32), (x.last - x.first + 1).astype(np.int32), x.gram.view(np.int64), x.kind.view(np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.array(v) for v in out], names=["t1", "t2", "at", "n", "h", "kind"])
 
     return run
 
 
-def _windows(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(text, stretches) -> two hashes of each window of the stretches, with the kind and the window's place in it."""
+def place_key(t1: np.ndarray, t2: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A hash of a text and a place in it."""
+    return mix(t1.view(U) ^ mix(t2.view(U) * _STEP + at.astype(U)))
+
+
+def _place_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        x = place_key(*(np.asarray(batch.column(c)) for c in ("t1", "t2", "at")))
+        yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64))], names=["x"])
+
+
+def _looked_up(window: int, k: int, bitmap: np.ndarray | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Texts -> the kinds at the wanted places (those in the bitmap, or in the column ats), with hashes of both halves and of all windows.
+
+    A place that is in the bitmap by chance brings a kind that others have looked up, too, or that nobody asked for; both change nothing.
+    """
+    half = -(-(window - k) // 2)
+
+    def lists(values: np.ndarray, n: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(values.view(np.int64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            listed = batch.column("stretches")
-            cut = np.frombuffer(listed.buffers()[1], np.int32)[listed.offset : listed.offset + len(listed) + 1]
-            flat = {c: np.asarray(listed.values.field(c)) for c in ("at", "n", "h", "kind")}
-            single = np.asarray(listed.values.field("single").cast(pa.int8()))
+            t1, t2 = np.asarray(batch.column("t1")), np.asarray(batch.column("t2"))
             for lo, hi, buf, off in text_chunks(batch.column("text"), lower=False):
-                s, ln, first = words(buf, off, NOT_BLANK)
-                h = hash_words(buf, s, ln)
-                w1, w2 = span_hash(h, window), span_hash(mix(h ^ _OTHER), window)
-                some = np.arange(cut[lo], cut[hi])
-                if not len(some):
+                if (x := Stretches.of(buf, off, window, k)) is None:
+                    continue
+                if bitmap is not None:
+                    found = np.flatnonzero(Gate._may(bitmap, place_key(t1[lo + x.row], t2[lo + x.row], x.at)))
+                else:
+                    ats = batch.column("ats").slice(lo, hi - lo)
+                    rows = np.repeat(np.arange(hi - lo), np.asarray(ats.value_lengths()))
+                    found = np.flatnonzero(np.isin(x.row * (1 << 32) + x.at, rows * (1 << 32) + np.asarray(ats.flatten(), np.int64)))
+                if not len(found):
                     continue
-                begin = flat["at"][some] + np.repeat(first[:-1], np.diff(cut[lo : hi + 1]))
-                n = flat["n"][some]
-                which = np.repeat(some, n)
-                place = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-                at = np.repeat(begin, n) + place
-                out = [w1[at].view(np.int64), w2[at].view(np.int64), flat["h"][which], flat["kind"][which], place.astype(np.int32), single[which].astype(bool)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["w1", "w2", "h", "kind", "off", "single"])
+                a, b, p = x.first[found], x.last[found], x.anchor[found]
+                side = span_hash(x.h, half) if half else np.zeros(len(x.h) + 1, U)
+                left, right = p - a >= half, b + window - p - k >= half
+                both = np.stack([np.where(left, side[np.maximum(p - half, 0)], U(0)), np.where(right, mix(side[np.minimum(p + k, len(side) - 1)] ^ _OTHER), U(0))], 1)
+                there = np.stack([left, right], 1)
+                n = b - a + 1
+                at = np.repeat(a, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                w1, w2 = span_hash(x.h, window)[at], span_hash(mix(x.h ^ _OTHER), window)[at]
+                out = [pa.array(x.gram[found].view(np.int64)), pa.array(x.kind[found].view(np.int64)), lists(both[there], there.sum(1)), lists(w1, n), lists(w2, n)]
+                yield pa.RecordBatch.from_arrays(out, names=["h", "kind", "sides", "w1", "w2"])
 
     return run
 
@@ -188,12 +234,22 @@ def repeated_spans(texts: DataFrame, window: int = WINDOW, k: int = K) -> DataFr
         seeded = materialise(anchors.join(seeds, "h"), "seeded")
         kinds = seeded.groupBy("h", "kind").agg(F.count("*").alias("all"), F.max("mixed").alias("mixed"), F.min(F.struct("t1", "t2", "at", "n")).alias("of"))
         kinds = materialise(kinds, "kinds")
-        open_ = kinds.filter("mixed").select("of.t1", "of.t2", F.struct("of.at", "of.n", "h", "kind", (F.col("all") == 1).alias("single")).alias("s"))
-        wanted = materialise(open_.groupBy("t1", "t2").agg(F.collect_list("s").alias("stretches")), "wanted")  # as many as a text has anchors
-        look = known.join(_small(wanted, 24 + 32 * F.size("stretches")), ["t1", "t2"])
-        windows = materialise(look.select("text", "stretches").mapInArrow(_windows(window), WINDOW_SCHEMA), "windows")
+        open_ = kinds.filter("mixed").select("of.t1", "of.t2", "of.at")
+        n_open = open_.count()
+        if BITS_A_PLACE * n_open <= MOST_BITS:  # no text is shuffled
+            bits = max(1 << 16, 1 << (BITS_A_PLACE * n_open - 1).bit_length())
+            look = known.mapInArrow(_looked_up(window, k, _bitmap(open_.mapInArrow(_place_keys, "x long"), bits)), LOOK_SCHEMA)
+        else:
+            ats = open_.groupBy("t1", "t2").agg(F.collect_list("at").alias("ats"))  # as many as a text has anchors
+            look = known.join(ats, ["t1", "t2"]).mapInArrow(_looked_up(window, k, None), LOOK_SCHEMA)
+        look = materialise(look, "looked-up")
+        halves = look.select("h", "kind", F.explode("sides").alias("side"))
+        shared = halves.groupBy("h", "side").agg((F.min("kind") != F.max("kind")).alias("again")).filter("again").select("h", "side")
+        alive = materialise(halves.join(shared, ["h", "side"]).select("h", "kind").distinct(), "alive")
+        pairs = look.join(_small(alive, F.lit(16)), ["h", "kind"]).select("h", "kind", F.posexplode(F.arrays_zip("w1", "w2")).alias("off", "w"))
+        windows = materialise(pairs.select("h", "kind", "off", "w.w1", "w.w2"), "windows")
         again = windows.groupBy("w1", "w2").agg((F.min("kind") != F.max("kind")).alias("again")).filter("again").select("w1", "w2")
-        parts = windows.filter("single").join(again, ["w1", "w2"]).groupBy("h", "kind").agg(F.array_sort(F.collect_set("off")).alias("offs"))  # up to window - k + 1
+        parts = windows.join(again, ["w1", "w2"]).groupBy("h", "kind").agg(F.array_sort(F.collect_set("off")).alias("offs"))  # up to window - k + 1
         whole = kinds.filter(F.col("all") > 1).select("h", "kind", F.lit(None).cast("array<int>").alias("offs"))
         found = seeded.select("t1", "t2", "at", "n", "h", "kind").join(whole.union(parts), ["h", "kind"])
         found = found.groupBy("t1", "t2").agg(F.collect_set(F.struct("at", "n", "offs")).alias("parts"))  # as many as a text has anchors

@@ -42,6 +42,7 @@ def found(df):
 def test_repeats_against_all_windows(spark, monkeypatch, window, k, joined):
     if joined:
         monkeypatch.setattr(repeats, "BROADCAST_BYTES", -1)
+        monkeypatch.setattr(repeats, "MOST_BITS", -1)
     rng = random.Random(window * 10 + k)
     few = [f"w{i}" for i in range(4)]
     passage = [f"p{i}" for i in range(3 * window)]
