@@ -82,7 +82,7 @@ def nearest(parts: np.ndarray, to_pivots: np.ndarray, entries: np.ndarray, entry
             break
         tried += len(active)
         apart = parts[active] - entries[entry]
-        d = np.einsum("ij,ij->i", apart, apart)
+        d = np.einsum("ij,ij->i", apart, apart)  # exact in the parts' own type, see Books.kind
         better = (d < best[active]) | ((d == best[active]) & (entry < at[active]))
         best[active[better]], at[active[better]] = d[better], entry[better]
     return at, best, tried
@@ -94,6 +94,7 @@ class Books:
 
     entries: np.ndarray  # part x entry x component
     pivots: tuple[np.ndarray, ...]  # of each part: pivot x component
+    kind: type = np.int64  # 32 bits where all squared distances fit them
 
     @property
     def sha256(self) -> str:
@@ -105,7 +106,7 @@ class Books:
         for k, pivots in enumerate(self.pivots):
             known = to_pivots[:, first : first + len(pivots)]
             first += len(pivots)
-            at[:, k], d[:, k], _ = nearest(parts[:, k], known, self.entries[k], distances(self.entries[k], pivots))
+            at[:, k], d[:, k], _ = nearest(np.ascontiguousarray(parts[:, k]), known, self.entries[k].astype(self.kind), distances(self.entries[k], pivots))
         return at, d
 
 
@@ -135,8 +136,8 @@ def _stored(width: int, books: Books) -> Callable[[Iterator[pa.RecordBatch]], It
 def _cut(batch: pa.RecordBatch, books: Books) -> tuple[np.ndarray, np.ndarray]:
     n_parts, _, size = books.entries.shape
     n_pivots = sum(map(len, books.pivots))
-    parts = matrix(batch.column("__parts"), 4 * n_parts * size, np.int32).reshape(len(batch), n_parts, size).astype(np.int64)
-    return parts, matrix(batch.column("__known"), 8 * n_pivots, np.float64)
+    parts = matrix(batch.column("__parts"), 4 * n_parts * size, np.int32).reshape(len(batch), n_parts, size)
+    return parts.astype(books.kind), matrix(batch.column("__known"), 8 * n_pivots, np.float64)
 
 
 SUMS = "part int, entry int, n long, sums array<long>"
@@ -170,7 +171,7 @@ def _moved(books: Books, parts: DataFrame) -> Books:
     entries = books.entries.copy()
     part, entry, pos, n, s = (np.asarray(cells[c]) for c in ("part", "entry", "pos", "n", "s"))
     entries[part, entry, pos] = np.floor_divide(s, n)
-    return Books(entries, books.pivots)
+    return Books(entries, books.pivots, books.kind)
 
 
 def _coded(books: Books) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -228,7 +229,7 @@ def compress_vectors(
     for i, r in enumerate(first):
         start[i, : len(r[0])] = r[0]
     book = np.ascontiguousarray(start.reshape(len(start), parts, size).transpose(1, 0, 2))
-    books = Books(book, tuple(far_apart(b, pivots) for b in book))
+    books = Books(book, tuple(far_apart(b, pivots) for b in book), np.int32 if 4 * largest * largest * max(1, size) < 1 << 31 else np.int64)
     kept = given.schema.fields
     schema = StructType([*kept, StructField("__parts", BinaryType()), StructField("__known", BinaryType())])
     with scratch(vectors.sparkSession):
