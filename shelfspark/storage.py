@@ -6,13 +6,15 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
-_scratch: list[list[str]] = []
+#: Open frames of this thread or task: what is to be deleted at their end, and whether that goes for kept tables, too.
+_frames: ContextVar[tuple[tuple[list[str], bool], ...]] = ContextVar("frames", default=())
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,6 +34,11 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def delete(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write df as Parquet in the shared folder and read it again: lineage ends there, so a lost executor costs only tasks of the current job.
 
@@ -39,20 +46,32 @@ def materialise(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, label)
-    if _scratch and not keep:
-        _scratch[-1].append(path)
+    for paths, kept_too in reversed(_frames.get()):
+        if kept_too or not keep:
+            paths.append(path)
+            break
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Deletes at its end what materialise wrote in between and nobody reads any more."""
-    _scratch.append([])
+def scratch(spark: SparkSession, kept_too: bool = False) -> Iterator[None]:
+    """Deletes at its end what materialise wrote in between, in this thread, and nobody reads any more; with kept_too also kept tables."""
+    paths: list[str] = []
+    before = _frames.set((*_frames.get(), (paths, kept_too)))
     try:
         yield
     finally:
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-        for name in _scratch.pop():
-            path = hadoop.Path(name)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _frames.reset(before)
+        for name in paths:
+            delete(spark, name)
+
+
+def settled(spark: SparkSession, build: Callable[[], DataFrame], label: str) -> tuple[DataFrame, str]:
+    """What build() returns, written and read again, and its path; all tables that it was made from are deleted."""
+    path = new_path(spark, label)
+    with scratch(spark, kept_too=True):
+        df = build()
+        df.write.parquet(path)
+        schema = df.schema
+    return spark.read.schema(schema).parquet(path), path
