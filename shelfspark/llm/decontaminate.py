@@ -9,7 +9,9 @@ one window themselves; their fingerprint is the hash of all their words.
 2. Documents, in one pass and without a shuffle, keep the fingerprints that may be shared, extend each to the windows around
    it, and yield runs: stretches covered by windows that may be shared. Bits that agree by chance only cost rows.
 3. Equal runs are one row from here on, so a passage that many documents share is looked up once. Windows of
-   runs are joined with those of items on the fingerprint, and a hit stands where all words agree (by two 64-bit hashes).
+   runs are joined with those of the benchmark on the fingerprint, and a hit stands where all words agree (by two 64-bit hashes). A window is
+   one row there, with the set of items that have it: a prompt that many items share costs its windows and these items, not their product.
+   A document's items are one array, as the result asks for it.
 4. Hits go back to the documents with the run. Texts, not rows, are judged: copies share a verdict.
 """
 
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from shelfspark.llm.common import materialise, scratch
+from shelfspark.llm.common import column, materialise, scratch
 from shelfspark.llm.textbytes import ALNUM, U, hash_words, kgrams, mix, text_chunks, words
 
 K = 5
@@ -223,18 +225,23 @@ def _judged(texts: DataFrame, benchmark: DataFrame, k: int, window: int) -> Data
     items = benchmark.filter("text IS NOT NULL").select(*_text_id("text", "t1", "t2"), "item", "text")
     with scratch(texts.sparkSession):
         windows = items.groupBy("t1", "t2").agg(F.first("text").alias("text")).mapInArrow(_windows(k, window), WINDOW_SCHEMA)
-        windows = materialise(windows.drop("at").distinct(), "windows")
+        # one row for each window of the benchmark, with the set of texts that have it; windows of a shared prompt have one set in common
+        windows = windows.groupBy("mark", "key", "check", "size").agg(F.array_sort(F.collect_set(F.struct("t1", "t2"))).alias("texts"))
+        windows = materialise(windows.withColumns({"s1": F.xxhash64("texts"), "s2": F.xxhash64(F.lit(17), "texts")}), "windows")
         n, sizes = windows.agg(F.count("*"), F.collect_set("size")).first()  # up to `window` sizes
         bits = min(MOST_BITS, max(1 << 16, 1 << (BITS_A_WINDOW * n).bit_length()))
         gate = Gate(k, window, tuple(sorted(sizes)), *(_bitmap(windows.select(F.col(c).alias("x")), bits) for c in ("mark", "key")))
         runs = texts.select(*_text_id("text", "h1", "h2"), "text").mapInArrow(_runs(gate), RUN_SCHEMA)
         runs = materialise(runs.select("*", *_text_id("run", "t1", "t2")).dropDuplicates(["h1", "h2", "t1", "t2"]), "runs")
         look = runs.groupBy("t1", "t2").agg(F.first("run").alias("text")).mapInArrow(_windows(k, window, gate), WINDOW_SCHEMA)
-        hits = look.join(windows.withColumnsRenamed({"t1": "i1", "t2": "i2"}), ["mark", "key", "check", "size"])
-        hits = materialise(hits.select("t1", "t2", "at", "size", "i1", "i2"), "hits")
+        hits = look.join(windows.drop("texts"), ["mark", "key", "check", "size"])
+        hits = materialise(hits.select("t1", "t2", "at", "size", "s1", "s2"), "hits")
         spans = hits.groupBy("t1", "t2").agg(F.collect_set(F.struct("at", "size")).alias("hits"))
-        listed = items.filter("item IS NOT NULL").select(F.col("t1").alias("i1"), F.col("t2").alias("i2"), "item").distinct()
-        named = hits.select("t1", "t2", "i1", "i2").distinct().join(listed, ["i1", "i2"]).groupBy("t1", "t2").agg(F.collect_set("item").alias("names"))
+        # items are attached last, once for each set that was hit
+        sets = windows.join(hits.select("s1", "s2").distinct(), ["s1", "s2"], "left_semi").groupBy("s1", "s2").agg(F.first("texts").alias("texts"))
+        listed = items.filter("item IS NOT NULL").select("t1", "t2", "item").distinct()
+        named = sets.select("s1", "s2", F.explode("texts").alias("t")).select("s1", "s2", "t.*").join(listed, ["t1", "t2"]).groupBy("s1", "s2").agg(F.collect_set("item").alias("names"))
+        named = hits.select("t1", "t2", "s1", "s2").distinct().join(named, ["s1", "s2"]).groupBy("t1", "t2").agg(F.array_distinct(F.flatten(F.collect_list("names"))).alias("names"))
         known = spans.join(named, ["t1", "t2"], "left").withColumn("names", F.coalesce("names", F.array().cast("array<string>")))
         parts = runs.select("h1", "h2", "t1", "t2", "ats").join(known, ["t1", "t2"]).groupBy("h1", "h2")
         parts = parts.agg(F.collect_list(F.struct("ats", "hits")).alias("parts"), F.collect_list("names").alias("names"))
@@ -255,10 +262,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     columns with their names.
     """
     names = {c: f"__in{i}" for i, c in enumerate(docs.columns)}
-    items = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("item"), F.col(f"`{item_text}`").alias("text"))
-    verdicts = _judged(docs.select(F.col(f"`{text}`").alias("text")), items, k, window)
+    items = benchmark.select(column(item_id).cast("string").alias("item"), column(item_text).alias("text"))
+    verdicts = _judged(docs.select(column(text).alias("text")), items, k, window)
     held = verdicts.agg(F.sum(40 + 8 * F.size("spans") + F.octet_length(F.array_join("items", ",")))).first()[0] or 0
-    rows = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items() if c != text), F.col(f"`{text}`").alias("__text"))
+    rows = docs.select(*(column(c).alias(n) for c, n in names.items() if c != text), column(text).alias("__text"))
     rows = rows.mapInArrow(_with_n_words, StructType([*rows.schema.fields, StructField("__n", LongType())])).select("*", *_text_id("__text", "h1", "h2"))
     rows = rows.join(F.broadcast(verdicts) if held <= BROADCAST_BYTES else verdicts, ["h1", "h2"], "left")
     hit = F.coalesce("n_hit", F.lit(0).cast("long"))

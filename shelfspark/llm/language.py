@@ -8,7 +8,6 @@ separates its sides in fitting. Two nearly equal sums flag a text as ambiguous.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,7 +22,6 @@ from shelfspark.llm.textbytes import text_chunks
 SAMPLE = 3000
 AMBIGUOUS = 0.2
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def codewords(n: int) -> np.ndarray:
@@ -73,7 +71,8 @@ class Model:
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    """A letter of any script; digits, other numerals and marks alone are none."""
+    return bool(text) and any(map(str.isalpha, text))
 
 
 def _counts(languages: list[str]):

@@ -14,10 +14,14 @@ They keep every two classes connected that the node's candidate pairs connect, e
 between them fail the confirmation, so a group of n copies costs n pairs, not n * n. Candidates are confirmed on
 their full sets, and components are taken over the confirmed links.
 
-Rows of candidates that were kept back then meet once more, node by node, with their full sets and the component that each
-belongs to so far: every candidate pair between two components is confirmed there, inside the task, and a spanning forest
-of the links that hold is sent on. So each candidate pair was confirmed, failed on its full sets, or lies within a
-component, and no table has a row for each pair: rows grow with the documents, whatever the size of a family is.
+Rows of candidates that were kept back then meet once more, node by node, with the component that each belongs to so far:
+first by their digits; those that are in a candidate pair between two components come again with their full sets, every such
+pair is confirmed inside the task, and a spanning forest of the links that hold is sent on. So each candidate pair was
+confirmed, failed on its full sets, or lies within a component, and no table has a row for each pair.
+
+Rows grow with the documents, but for nodes above NODE_ROWS after all levels: there each row (its 128 bytes of digits) goes to every other
+block of its node, so the rows of a family of n different texts that can't be told apart by tokens are n * n / NODE_ROWS * 2; full
+sets follow only where a candidate pair between two components is left.
 
 At similarity 0.8 exactly, a pair is missed by one tree with probability 0.27 (0.36 two levels deeper), by all
 TREES = 12 with 2e-7 (5e-6); the digit filter misses it with 3e-6. Similar pairs above 0.8 are missed less often.
@@ -336,6 +340,36 @@ def _branch(level: int):
     return step
 
 
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with roots and parts, sorted by node -> those that are in a candidate pair of their node between two roots."""
+
+    def found(t: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for a, b in _portions(np.asarray(t.column("node"))):
+            some = t.slice(a, b - a)
+            columns = (np.asarray(some.column(c)) for c in ("node", "n"))
+            i, j, _ = _candidates(*columns, matrix(some.column("digits"), DIGITS // 2, U), np.asarray(some.column("root")), np.asarray(some.column("part")))
+            if len(i):
+                yield some.take(pa.array(np.unique(np.concatenate([i, j]))))
+
+    for t in _whole_nodes(batches):
+        yield from found(t)
+
+
+def _whole_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches sorted by node, cut anew so that each holds whole nodes."""
+    carried: pa.RecordBatch | None = None
+    for batch in batches:
+        t = pa.concat_batches([carried, batch]) if carried is not None else batch
+        if len(t):
+            node = np.asarray(t.column("node"))
+            start = int(np.searchsorted(node[::-1] != node[-1], True))
+            carried = t.slice(len(t) - start)
+            if start < len(t):
+                yield t.slice(0, len(t) - start)
+    if carried is not None:
+        yield carried
+
+
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows with full sets, roots and parts, sorted by node -> (u, v): a spanning forest of each node's links between roots.
 
@@ -363,17 +397,8 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in _portions(np.asarray(t.column("node"))):
             yield from links(t.slice(a, b - a))
 
-    carried: pa.RecordBatch | None = None
-    for batch in batches:
-        t = pa.concat_batches([carried, batch]) if carried is not None else batch
-        if len(t):
-            node = np.asarray(t.column("node"))
-            start = int(np.searchsorted(node[::-1] != node[-1], True))
-            carried = t.slice(len(t) - start)
-            if start < len(t):
-                yield from whole(t.slice(0, len(t) - start))
-    if carried is not None:
-        yield from whole(carried)
+    for t in _whole_nodes(batches):
+        yield from whole(t)
 
 
 def _full_sets(words: int):
@@ -467,10 +492,13 @@ def _dealt(rows: DataFrame) -> DataFrame:
 
 def settled(partial: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
     """(u, v): links between classes of partial's nodes that no confirmed link has joined so far, so many that all links among
-    these nodes are joined then. Each row is sent with its full set; copies, which have a root in common, don't meet again."""
+    these nodes are joined then. Rows meet by their digits first, and only those in a candidate pair are sent again with their full
+    sets; copies, which have a root in common, don't meet."""
     known = partial.join(roots.select(F.col("node").alias("cls"), F.xxhash64("root").alias("root")), "cls", "left")
     rows = materialise(known.select("node", "cls", "n", "digits", F.coalesce("root", F.xxhash64("cls")).alias("root")), "partial")
-    return materialise(_by_node(_dealt(rows).join(sets, "cls")).mapInArrow(_settle, "u binary, v binary"), "links")
+    dealt = _dealt(rows)
+    met = materialise(_by_node(dealt).mapInArrow(_meet, dealt.schema), "met")
+    return materialise(_by_node(met.join(sets, "cls")).mapInArrow(_settle, "u binary, v binary"), "links")
 
 
 def full_sets(wanted: DataFrame, classes: DataFrame, keyed: DataFrame, words: int) -> DataFrame:

@@ -3,7 +3,7 @@
 Features are indicators of the byte 1-, 2- and 3-grams of the whole text, each scaled by the log ratio of its smoothed
 counts in the two classes, rows scaled to length one. A linear hinge-loss model is fitted to them by dual coordinate
 descent, which is sequential and runs on the driver over a sample of at most about SAMPLE documents of each class;
-that bound is a parameter. A logistic curve fitted on margins of halves left out turns margins into scores.
+that bound is a parameter, and so is the bound of their bytes. A logistic curve fitted on margins of halves left out turns margins into scores.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfspark.llm.common import scratch
 from shelfspark.llm.ngrams import DIMS, indicators, labelled_sample, with_columns
 from shelfspark.llm.textbytes import ragged_binary, text_chunks
 
@@ -128,7 +129,15 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality", sample: int = SAMPLE) -> Model:
-    """Fitted on about `sample` labelled documents of each class at most, in the order of a hash of their ids."""
+    """Fitted on about `sample` labelled documents, and SAMPLE_BYTES of text, of each class at most, in the order of a hash of their ids.
+
+    The driver holds up to three places of four bytes for each byte of the sample.
+    """
+    with scratch(docs.sparkSession):
+        return _train(docs, labels, text, doc_id, label, sample)
+
+
+def _train(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str, sample: int) -> Model:
     found = labelled_sample(docs, labels, text, doc_id, label, sample).select(F.col("doc_id").cast("string").alias("doc_id"), "y", "text").mapInArrow(_features, "doc_id string, y int, x binary").toArrow()
     ids, y = found["doc_id"].to_pylist(), np.asarray(found["y"].combine_chunks().to_numpy(zero_copy_only=False), int)
     order = sorted(range(len(ids)), key=lambda i: (hash_of(ids[i]), ids[i]))
