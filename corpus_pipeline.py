@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.llm import quality as quality_model
-from shelfspark.llm.common import hide, materialise, restore
+from shelfspark.llm.common import hide, restore
 from shelfspark.llm.decontaminate import contamination
 from shelfspark.llm.mixing import mix_sources
 from shelfspark.llm.near_dup import near_duplicates
 from shelfspark.llm.ngrams import fold
 from shelfspark.llm.registry import N_SHARDS, table
 from shelfspark.llm.sharding import shard
+from shelfspark.storage import delete, settled
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +60,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. Of the tables in between only the last stage's own and its input are left in shared storage, as the result reads them."""
     docs = table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        given = docs
+        docs, path = settled(spark, lambda stage=stage, given=given: stage(spark, given, sf_dir), name)
+        if before is not None:
+            delete(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
