@@ -144,23 +144,31 @@ MORE_SQL = {
       SELECT run_id, '📊 Неделя 2026-W19 — base vs competitor' || chr(10) || chr(10) || '📦 base: ' || base_count || ' SKU  •  competitor: ' || competitor_count || ' SKU' || chr(10) || '🎯 Совпало: ' || match_count || ' (' || match_rate || '%)' || chr(10)
         || '🆕 Гэпы: ' || gaps_count || ' SKU у competitor без base-пары' || chr(10) || '💸 Промо у competitor: ' || promo_count || ' SKU' || chr(10) || coalesce(chr(10) || '🔝 Топ-3 дельты (base vs competitor):' || chr(10) || l || chr(10), '') AS summary FROM summary LEFT JOIN lines USING (run_id)""",
     "distinct_base_brands": f"WITH {SNAPSHOTS} SELECT DISTINCT run_id, brand_norm FROM snapshots WHERE retailer = 'base'",
-    "raw_listing": f"WITH {SNAPSHOTS} SELECT run_id, brand, name, sku_id, current_price FROM raw WHERE retailer = 'competitor'",
+    "raw_listing": f"WITH {SNAPSHOTS} SELECT run_id, retailer, brand, name, sku_id, current_price FROM raw",
 }
 MORE_SQL["cards_with_variants"] = f"""WITH cards AS ({MORE_SQL['card_products']}), variants AS ({MORE_SQL['variant_products']})
   SELECT * FROM cards UNION ALL SELECT * FROM variants v WHERE CAST(regexp_replace(regexp_replace(sku_id, '^c', ''), '-1$', '') AS BIGINT) % 2 = 1 AND sku_id NOT IN (SELECT sku_id FROM cards)"""
 
 _VALID = "current_price > 0 AND (retailer = 'base' OR volume_raw IS NOT NULL)"
 _SCOPE = _BRANDS.replace(" UNION SELECT brand || '-red' FROM brands WHERE pos % 2 = 0", "")
+_FIRST_QUEUE = f"""WITH {_SCOPE.replace("AS s FROM part)", "AS s FROM part WHERE p_partkey % 10 <> 0)")} SELECT CAST(1 AS BIGINT) AS run_id, brand AS item, 'unmatched_brand' AS source, 'pending' AS status FROM missing"""
+_QUEUES = f"SELECT * FROM ({_FIRST_QUEUE}) UNION ALL SELECT * FROM (WITH {_SCOPE} SELECT * FROM queue)"
 MORE_SQL |= {
-    "ledger_weeks": f"""WITH s AS ({MORE_SQL["run_summary"]}), t AS ({MORE_SQL["summary_text"]})
+    "ledger_weeks": f"""WITH s AS ({MORE_SQL["run_summary"]}), t AS ({MORE_SQL["summary_text"]}), q AS ({_QUEUES}), w AS (
       SELECT CAST(run_id AS BIGINT) AS run_id, 'success' AS status, CAST(NULL AS VARCHAR) AS fail_reason, base_count AS base_rows, competitor_count AS competitor_rows, match_count, match_rate, summary FROM s JOIN t USING (run_id)
-      UNION ALL SELECT 3, 'failed', 'match_count', base_count, competitor_count, match_count, match_rate, NULL FROM s WHERE run_id = 2""",
-    "ledger_edits": f"""WITH {SNAPSHOTS}, kept AS (SELECT *, retailer = 'competitor' AND brand_norm = 'brand-11' AND CAST(replace(sku_id, 'c', '') AS BIGINT) % 2 = 1 AS gone FROM snapshots WHERE run_id = 1 AND {_VALID}),
-      n AS (SELECT CAST(1 AS BIGINT) AS run_id, retailer, count(*) AS n FROM kept WHERE NOT gone GROUP BY ALL UNION ALL SELECT 3, retailer, count(*) FROM kept WHERE retailer = 'base' GROUP BY ALL)
+      UNION ALL SELECT 3, 'failed', 'match_count', base_count, competitor_count, match_count, match_rate, NULL FROM s WHERE run_id = 2)
+      SELECT w.*, (SELECT count(*) FROM q WHERE q.run_id = least(w.run_id, 2) AND (w.run_id < 3 OR source = 'unmatched_brand')) AS pending FROM w""",
+    "report_routes": """SELECT CAST(run_id AS BIGINT) AS run_id, CASE run_id WHEN 1 THEN 'business' ELSE 'ops_only' END AS route, CASE run_id WHEN 2 THEN 'size_guard' WHEN 3 THEN 'run_status' END AS failed_check,
+      CASE run_id WHEN 2 THEN 'oversize' WHEN 3 THEN 'upstream_status_failed' END AS reason FROM range(1, 4) t(run_id) WHERE EXISTS (SELECT 1 FROM part) AND EXISTS (SELECT 1 FROM lineitem)""",
+    "ledger_recovery": f"""WITH {SNAPSHOTS}, kept AS (SELECT *, retailer = 'competitor' AND brand_norm = 'brand-11' AND CAST(replace(sku_id, 'c', '') AS BIGINT) % 2 = 1 AS gone FROM snapshots WHERE {_VALID}),
+      n AS (SELECT 'died' AS stage, run_id, retailer, count(*) AS n FROM kept GROUP BY ALL UNION ALL SELECT 'done', run_id, retailer, count(*) FROM kept WHERE NOT gone GROUP BY ALL)
+      SELECT stage, run_id, retailer, n, n AS skus FROM n""",
+    "ledger_edits": f"""WITH {SNAPSHOTS}, kept AS (SELECT *, retailer = 'competitor' AND brand_norm = 'brand-11' AND CAST(replace(sku_id, 'c', '') AS BIGINT) % 2 = 1 AS gone FROM snapshots WHERE {_VALID}),
+      n AS (SELECT run_id, retailer, count(*) AS n FROM kept WHERE NOT gone GROUP BY ALL UNION ALL SELECT run_id + 2, retailer, count(*) FROM kept WHERE retailer = 'base' GROUP BY ALL)
       SELECT run_id, retailer, n, n AS skus, CASE WHEN retailer = 'competitor' THEN n END AS stat FROM n""",
     "report_sheets": f"SELECT sheet, CAST(sum(rows) AS BIGINT) AS rows FROM ({MORE_SQL['sheet_counts']}) GROUP BY 1",
     "scope_of_runs": f"WITH {_SCOPE} SELECT 'found' AS kind, brand, url FROM found UNION ALL SELECT CASE source WHEN 'new_slug' THEN 'new' ELSE 'unmatched' END, item, NULL FROM queue",
-    "ledger_queue": f"WITH {_SCOPE} SELECT * FROM queue",
+    "ledger_queue": _QUEUES,
     "aliased_matches": f"{_M} SELECT * FROM matches",
     "parsed_pages": f"SELECT *, 'base' AS retailer FROM ({MORE_SQL['embedded_products']}) UNION ALL BY NAME SELECT *, 'competitor' AS retailer FROM ({MORE_SQL['microdata_products']})",
 }

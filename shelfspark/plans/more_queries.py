@@ -10,7 +10,7 @@ from shelfspark.operators import history, matching, quality, report, scope
 from shelfspark.schema import BASE, COMPETITOR
 from shelfspark.sources import listing, pages
 from shelfspark.plans.ledger import Ledger
-from shelfspark.plans.runs import competitor_scope, queue_run, weekly_run
+from shelfspark.plans.runs import competitor_scope, publish_routes, queue_run, weekly_run
 from shelfspark.sources.adapter import base_products, competitor_products, normalise, offered, raw_base, raw_competitor, snapshots, table
 from shelfspark.storage import materialise, new_path
 
@@ -143,7 +143,9 @@ def guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select("o_orderkey", report.iso_week(F.col("o_orderdate") + F.expr("make_interval(0,0,0,0,cast(o_orderkey % 24 as int),0,0)")).alias("week"))
+    """Order dates have no zone in the table; they are told here as those of the session's, which makes them instants."""
+    at = F.col("o_orderdate").cast("timestamp") + F.expr("make_interval(0,0,0,0,cast(o_orderkey % 24 as int),0,0)")
+    return table(spark, sf_dir, "orders").select("o_orderkey", report.iso_week(at).alias("week"))
 
 
 def stock_and_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,28 +351,61 @@ def whole_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ledger_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both runs through the weekly plan; then what the ledger holds of them. A third run has a count of matches that it can't reach."""
+    """Both runs through the weekly plan with their review queues; then what the ledger holds of them. A third run has a count of
+    matches that it can't reach."""
     ledger, rows = Ledger(spark, new_path(spark, "ledger")), materialise(whole_rows(spark, sf_dir), "rows")
     for run_id, source, least in ((1, 1, 1), (2, 2, 1), (3, 2, 1 << 40)):
         side = [rows.filter((F.col("run_id") == source) & (F.col("retailer") == r)) for r in (BASE, COMPETITOR)]
-        weekly_run(ledger, run_id, *side, "2026-W19", (1, 1, least))
-    stats = history.stats_map(spark.read.parquet(f"{ledger.root}/run_stats"))
+        weekly_run(ledger, run_id, *side, "2026-W19", (1, 1, least), (run_slugs(spark, sf_dir, source), brands(spark, sf_dir), aliases(spark, sf_dir)))
+    stats = history.stats_map(ledger.patches())
     of = lambda key: F.try_element_at("stats", F.lit(key))
     return ledger.runs().join(stats, "run_id").select(
         "run_id", "status", "fail_reason", of("base.fetch_count").cast("long").alias("base_rows"), of("competitor.fetch_count").cast("long").alias("competitor_rows"),
         of("match.count").cast("long").alias("match_count"), of("match.rate").cast("double").alias("match_rate"), of("report.summary_text").alias("summary"),
+        of("review.pending").cast("long").alias("pending"),
     )
 
 
+def report_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the reports of three runs go: one of a usual size, one above its limit, one of a failed run."""
+    ledger, rows = Ledger(spark, new_path(spark, "ledger")), materialise(whole_rows(spark, sf_dir), "rows")
+    for run_id, source, least, most_bytes in ((1, 1, 1, 1 << 40), (2, 2, 1, 1000), (3, 2, 1 << 40, 1 << 40)):
+        side = [rows.filter((F.col("run_id") == source) & (F.col("retailer") == r)) for r in (BASE, COMPETITOR)]
+        weekly_run(ledger, run_id, *side, "2026-W19", (1, 1, least), most_bytes=most_bytes)
+    return publish_routes(ledger)
+
+
+def ledger_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each run after a brand's replacement died just before it took effect, and after it was run again."""
+    ledger, rows = Ledger(spark, new_path(spark, "ledger")), materialise(snapshots(spark, sf_dir), "rows")
+    valid = quality.valid_rows(rows)
+    again = valid.filter((F.col("retailer") == COMPETITOR) & (F.col("brand_norm") == "brand-11") & (sku_number() % 2 == 0))
+    brand, stages = spark.createDataFrame([("brand-11",)], "brand_norm string"), []
+    for run_id in (1, 2):
+        ledger.append_snapshots(rows.filter(F.col("run_id") == run_id), run_id)
+    for stage in ("died", "done"):
+        for run_id in (1, 2):
+            new, table = again.filter(F.col("run_id") == run_id), ledger._table("snapshots")
+            if stage == "died":  # all its rows are written, but nothing points to them
+                new.drop("run_id").write.partitionBy("retailer").parquet(table.path(table.new_folder(run_id)))
+            else:
+                ledger.replace_brands(new, run_id, COMPETITOR, brand)
+        counts = ledger.snapshots().groupBy("run_id", "retailer").agg(F.count("*").alias("n"), F.count_distinct("sku_id").alias("skus"))
+        stages.append(materialise(counts.withColumn("stage", F.lit(stage)), "stage"))
+    return stages[0].unionByName(stages[1])
+
+
 def ledger_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of a ledger after the same append twice, a cloned side, and a recovered brand, with the count in the stats."""
-    ledger, rows = Ledger(spark, new_path(spark, "ledger")), materialise(snapshots(spark, sf_dir).filter("run_id = 1"), "rows")
-    for _ in range(2):
-        ledger.append_snapshots(rows, 1)
-    ledger.clone_side(BASE, 1, 3)
+    """Rows of both runs in a ledger after the same append twice, cloned sides, and recovered brands, with the counts in the stats."""
+    ledger, rows = Ledger(spark, new_path(spark, "ledger")), materialise(snapshots(spark, sf_dir), "rows")
     again = quality.valid_rows(rows).filter((F.col("retailer") == COMPETITOR) & (F.col("brand_norm") == "brand-11") & (sku_number() % 2 == 0))
-    ledger.recover_brands(again, 1, COMPETITOR, spark.createDataFrame([("brand-11",)], "brand_norm string"))
-    stats = history.stats_now(spark.read.parquet(f"{ledger.root}/run_stats")).filter(F.col("key") == f"{COMPETITOR}.fetch_count")
+    for run_id in (1, 2):
+        mine = F.col("run_id") == run_id
+        for _ in range(2):
+            ledger.append_snapshots(rows.filter(mine), run_id)
+        ledger.clone_side(BASE, run_id, run_id + 2)
+        ledger.recover_brands(again.filter(mine), run_id, COMPETITOR, spark.createDataFrame([("brand-11",)], "brand_norm string"))
+    stats = history.stats_now(ledger.patches()).filter(F.col("key") == f"{COMPETITOR}.fetch_count")
     counts = ledger.snapshots().groupBy("run_id", "retailer").agg(F.count("*").alias("n"), F.count_distinct("sku_id").alias("skus"))
     known = stats.select("run_id", F.lit(COMPETITOR).alias("retailer"), F.col("value").cast("long").alias("stat"))
     return counts.join(known, ["run_id", "retailer"], "left")
@@ -380,8 +415,8 @@ def report_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of each sheet that was written and read back."""
     ledger, rows = Ledger(spark, new_path(spark, "ledger")), materialise(snapshots(spark, sf_dir), "rows")
     sheets = report.sheets(rows, materialise(matching.match_products(rows), "matches"))
-    ledger.write_sheets(sheets, 0)
-    counts = [spark.read.parquet(f"{ledger.root}/sheets/run_id=0/{name}").agg(F.lit(name).alias("sheet"), F.count("*").alias("rows")) for name in sheets]
+    folder, _ = ledger.write_sheets(sheets, 0)
+    counts = [spark.read.parquet(f"{ledger.root}/{folder}/{name}").agg(F.lit(name).alias("sheet"), F.count("*").alias("rows")) for name in sheets]
     out = counts[0]
     for c in counts[1:]:
         out = out.unionByName(c)
@@ -405,7 +440,7 @@ def ledger_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = Ledger(spark, new_path(spark, "ledger"))
     for run_id in (1, 2):
         queue_run(ledger, run_id, run_slugs(spark, sf_dir, run_id), brands(spark, sf_dir), aliases(spark, sf_dir))
-    return ledger.queue().filter("run_id = 2")
+    return ledger.queue()
 
 
 def aliased_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -452,8 +487,8 @@ MORE = {
     "card_products": lambda s, d: listing.card_products(card_pages(s, d), HOST), "variant_products": lambda s, d: listing.variant_products(variant_pages(s, d), HOST), "cards_with_variants": topped_up, "catalogue_products": catalogue,
     "embedded_products": embedded, "microdata_products": lambda s, d: pages.microdata_products(microdata_pages(s, d), 100), "catalogue_links": catalogue_links,
     "run_summary": matched(report.summary), "sheet_counts": matched(report.sheet_counts), "summary_text": matched(lambda s, m: report.summary_text(report.summary(s, m), report.best_deltas(m), F.lit("2026-W19"))),
-    "ledger_weeks": ledger_weeks, "ledger_edits": ledger_edits, "ledger_queue": ledger_queue, "report_sheets": report_sheets,
+    "ledger_weeks": ledger_weeks, "report_routes": report_routes, "ledger_recovery": ledger_recovery, "ledger_edits": ledger_edits, "ledger_queue": ledger_queue, "report_sheets": report_sheets,
     "scope_of_runs": scope_of_runs, "aliased_matches": aliased_matches, "parsed_pages": parsed_pages,
     "distinct_base_brands": lambda s, d: snapshots(s, d).filter((F.col("retailer") == BASE) & ~quality.blank("brand_norm")).select("run_id", "brand_norm").distinct().orderBy("run_id", "brand_norm"),
-    "raw_listing": lambda s, d: matching.side(snapshots(s, d), COMPETITOR).select("run_id", "brand", "name", "sku_id", "current_price").orderBy("brand", "name", "sku_id"),
+    "raw_listing": lambda s, d: snapshots(s, d).select("run_id", "retailer", "brand", "name", "sku_id", "current_price").orderBy("run_id", "retailer", "brand", "name", "sku_id"),
 }
