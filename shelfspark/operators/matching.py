@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.functions.pricing import DELISTED, delta, percent
 from shelfspark.functions.tokens import latin_tokens, names_match, product_type, telling_tokens, url_tokens
 from shelfspark.schema import BASE, COMPETITOR
+from shelfspark.storage import materialise
 
 
 def side(snapshots: DataFrame, retailer: str) -> DataFrame:
@@ -46,26 +49,102 @@ def _renamed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*(F.col(c).alias(f"{prefix}_{c}") for c in df.columns))
 
 
+#: A key whose rows of one side are more than a fair share of that many partitions is dealt out.
+SHARES = 64
+#: Fewer rows than these are never dealt out.
+LEAST_HEAVY = 2000
+
+
+def with_rarest(base: DataFrame, competitor: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the rarest of each product's tokens and telling tokens (null if it has none): the one that the fewest products of its run
+    and brand have. Products are told apart by a column `id`."""
+    both = base.withColumn("side", F.lit(0)).unionByName(competitor.withColumn("side", F.lit(1)))
+    tokens = both.select("side", "id", "run_id", "brand_norm", "telling", F.explode("tokens").alias("token"))
+    counts = tokens.groupBy("run_id", "brand_norm", "token").agg(F.count("*").alias("n"))
+    known = tokens.withColumn("tells", F.array_contains("telling", F.col("token"))).drop("telling").join(counts, ["run_id", "brand_norm", "token"])
+    order = F.struct("n", "token")
+    best = known.groupBy("side", "id").agg(F.min(order)["token"].alias("rare"), F.min(F.when(F.col("tells"), order))["token"].alias("rare_telling"))
+    return tuple(rows.join(best.filter(F.col("side") == k).drop("side"), "id", "left") for k, rows in enumerate((base, competitor)))
+
+
+def token_keys(whole: bool) -> Column:
+    """The keys under which a product is looked up, one for each way in which names_match can hold.
+
+    Names match only if all the competitor's tokens are among the base's, so its rarest one is (`all`); or if telling tokens overlap and
+    one side's are all among the other's, so the rarest telling one of that side is (`own` for the competitor's, `his` for the base's); or if
+    neither has a token and the names are equal (`name`).
+    """
+    tagged = lambda tag, c: F.transform(c, lambda x: F.concat(F.lit(tag), x))
+    one = lambda tag, c: F.when(F.col(c).isNotNull(), F.array(F.concat(F.lit(tag), F.col(c)))).otherwise(F.array().cast("array<string>"))
+    bare = F.when(F.size("tokens") == 0, F.array(F.concat(F.lit("name "), F.coalesce("name_norm", F.lit(""))))).otherwise(F.array().cast("array<string>"))
+    if whole:
+        return F.concat(tagged("all ", F.col("tokens")), tagged("own ", F.col("telling")), one("his ", "rare_telling"), bare)
+    return F.concat(one("all ", "rare"), one("own ", "rare_telling"), tagged("his ", F.col("telling")), bare)
+
+
+def _first_way() -> Column:
+    """A pair that meets under several keys is taken under the first one only."""
+    all_ = F.coalesce(F.array_contains("b_tokens", F.col("c_rare")), F.lit(False))
+    own = F.coalesce(F.array_contains("b_telling", F.col("c_rare_telling")), F.lit(False))
+    way = F.substring("b_token_key", 1, 3)
+    return (way == "all") | (way == "nam") | ((way == "own") & ~all_) | ((way == "his") & ~all_ & ~own)
+
+
 def candidate_pairs(base: DataFrame, competitor: DataFrame) -> DataFrame:
-    """Pairs of one run and brand whose volumes are equal or known on one side only.
+    """Pairs of one run and brand whose volumes are equal or known on one side only, and whose tokens don't rule out a match; each pair once.
 
-    One equi join whose key tells the three cases apart: equal volumes, known at the competitor only, known at the base only. An OR
-    over volumes would leave the brand as the only key, so that a large brand meets itself in one task.
+    One equi join. Its key tells the cases of volumes apart (equal, known at the competitor only, known at the base only), as an OR over
+    volumes would leave the brand as the only key; and it has a token, as products without a shared one can't match. Keys with more than
+    a fair share of a side's rows are counted and dealt out: these rows go to so many salts, and the other side's go to each of them.
     """
     known_left, known_right = F.lit("competitor only"), F.lit("base only")
+    base, competitor = with_rarest(base, competitor)
+
+    def keyed(rows: DataFrame, other: Column, own: Column, whole: bool) -> DataFrame:
+        volumes = F.when(F.col("volume_norm").isNull(), F.array(own)).otherwise(F.array("volume_norm", other))
+        rows = rows.withColumn("token_key", F.explode(token_keys(whole)))
+        return rows.withColumn("volume_key", F.explode(volumes))
+
+    b, c = keyed(base, known_right, known_left, True), keyed(competitor, known_left, known_right, False)
+    keys = ("run_id", "brand_norm", "volume_key", "token_key")
+    b, c = _dealt_out(b, c, keys)
+    same = F.col("b_salt") == F.col("c_salt")
+    for k in keys:
+        same &= F.col(f"b_{k}") == F.col(f"c_{k}")
+    return _renamed(b, "b").join(_renamed(c, "c"), same).filter(_first_way())
+
+
+def heavy_keys(b: DataFrame, c: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """(keys, b_salts, c_salts) of the keys that have more than a fair share of a side's rows; at most SHARES for each side."""
+    n = [rows.groupBy(*keys).agg(F.count("*").alias("n")) for rows in (b, c)]
+    found = []
+    for counts, salts in zip(n, ("b_salts", "c_salts"), strict=True):
+        share = counts.agg(F.greatest(F.ceil(F.sum("n") / SHARES), F.lit(LEAST_HEAVY)).alias("share"))  # one row
+        found.append(counts.join(F.broadcast(share), F.col("n") > F.col("share")).select(*keys, F.ceil(F.col("n") / F.col("share")).cast("int").alias(salts)))
+    return found[0].join(found[1], list(keys), "full").na.fill(1, ["b_salts", "c_salts"])
+
+
+def _dealt_out(b: DataFrame, c: DataFrame, keys: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a salt: a row of a heavy key has one of its side's own salts and meets all of the other side's."""
+    heavy = materialise(heavy_keys(b, c, keys), "heavy", keep=True)
+    if heavy.isEmpty():
+        return b.withColumn("salt", F.lit(0)), c.withColumn("salt", F.lit(0))
 
-    def keyed(rows: DataFrame, prefix: str, other: Column, own: Column) -> DataFrame:
-        keys = F.when(F.col("volume_norm").isNull(), F.array(own)).otherwise(F.array("volume_norm", other))
-        return _renamed(rows.withColumn("volume_key", F.explode(keys)), prefix)
+    def salted(rows: DataFrame, mine: str, other: str, number: Callable[[Column, Column], Column]) -> DataFrame:
+        rows = rows.join(F.broadcast(heavy), list(keys), "left").na.fill(1, ["b_salts", "c_salts"])  # at most 2 * SHARES rows
+        own = F.pmod(F.xxhash64("id"), F.col(mine)).cast("int")
+        every = F.transform(F.sequence(F.lit(0), F.col(other) - 1), lambda x: number(own, x))
+        return rows.withColumn("salt", F.explode(every)).drop("b_salts", "c_salts")
 
-    b, c = keyed(base, "b", known_right, known_left), keyed(competitor, "c", known_left, known_right)
-    same = (F.col("b_run_id") == F.col("c_run_id")) & (F.col("b_brand_norm") == F.col("c_brand_norm")) & (F.col("b_volume_key") == F.col("c_volume_key"))
-    return b.join(c, same)
+    of_pair = lambda i, j: i * F.col("c_salts") + j  # noqa: E731  of a row with salt i of the base's and one with j of the competitor's
+    return salted(b, "b_salts", "c_salts", of_pair), salted(c, "c_salts", "b_salts", lambda own, x: of_pair(x, own))
 
 
 def match_products(snapshots: DataFrame) -> DataFrame:
-    """All pairs of products that match, N to M, with prices and their delta; the name is the base's."""
-    pairs = candidate_pairs(features(snapshots, BASE), features(snapshots, COMPETITOR))
+    """All pairs of products that match, N to M, with prices and their delta; the name is the base's. Features are stored once, as keys are
+    counted before they are joined."""
+    sides = [materialise(features(snapshots, r).withColumn("id", F.monotonically_increasing_id()), "features", keep=True) for r in (BASE, COMPETITOR)]
+    pairs = candidate_pairs(*sides)
     of = lambda p: {"name": F.col(f"{p}_name_norm"), "type": F.col(f"{p}_type"), "tokens": F.col(f"{p}_tokens"), "telling": F.col(f"{p}_telling")}
     hit = pairs.filter(names_match(of("b"), of("c")))
     price = F.col("b_current_price"), F.col("c_current_price")
