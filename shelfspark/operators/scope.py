@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfspark.functions.text import bilingual_slugs, brand_key, kebab
 from shelfspark.operators.history import top_per_key
+from shelfspark.storage import materialise
 
 PREFIX_DEPTH = 3
 LEAST_KEY = 3
 MOST_CANDIDATES = 5
+#: Addresses in a piece of a token's list.
+PIECE_URLS = 1000
+#: Characters of the grams under which keys are filed.
+GRAM = 3
 
 
 def alias_dimension(aliases: DataFrame, slug: Column) -> DataFrame:
@@ -50,8 +55,22 @@ def longest_prefix(slugs: DataFrame, tokens: DataFrame, depth: int = PREFIX_DEPT
     return hit.groupBy("slug", "url").agg(F.max_by("token", "depth").alias("token"))
 
 
-def urls_by_token(indexed: DataFrame) -> DataFrame:
-    return indexed.groupBy("token").agg(F.array_sort(F.collect_list("url")).alias("urls"))
+def urls_by_token(indexed: DataFrame, most: int = PIECE_URLS) -> DataFrame:
+    """(token, piece, urls): a token's addresses in order, cut into pieces of `most`; pieces are numbered from 0 without gaps.
+
+    Rows are sorted over all tokens and addresses by sampled ranges, so that a token with many addresses spans several tasks: each
+    numbers its own, and the counts of the ranges before are added. So no task holds more of a token than a piece, besides what it sorts.
+    """
+    session = indexed.sparkSession
+    ranges = int(session.conf.get("spark.sql.shuffle.partitions"))
+    rows = indexed.select("token", "url").repartitionByRange(ranges, "token", "url").withColumn("range", F.spark_partition_id())
+    rows = materialise(rows, "ranges", keep=True)  # ranges are sampled: they must not be drawn twice
+    counts = rows.groupBy("token", "range").agg(F.count("*").alias("n"))
+    up_to = Window.partitionBy("token").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    before = counts.select("token", "range", F.coalesce(F.sum("n").over(up_to), F.lit(0)).alias("before"))
+    inner = F.row_number().over(Window.partitionBy("token", "range").orderBy("url")) - 1
+    placed = rows.withColumn("inner", inner).join(before, ["token", "range"]).withColumn("piece", F.floor((F.col("before") + F.col("inner")) / most))
+    return placed.groupBy("token", "piece").agg(F.array_sort(F.collect_list("url")).alias("urls"))
 
 
 def brand_pool(brands: DataFrame, aliases: DataFrame, indexed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -67,24 +86,45 @@ def resolve_labels(brands: DataFrame, index: DataFrame) -> DataFrame:
     return brands.withColumn("key", brand_key(F.col("brand"))).join(keys, "key").select("brand", "key", "r.label", "r.path")
 
 
+def _grams(c: str) -> Column:
+    """The distinct stretches of 1 to GRAM characters of a key: at most GRAM for each of its characters."""
+    n = F.length(c)
+    of = lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substr(F.col(c), i, F.lit(k)))
+    none = F.array().cast("array<string>")
+    return F.array_distinct(F.concat(*(F.when(n >= k, of(k)).otherwise(none) for k in range(1, GRAM + 1))))
+
+
+def key_grams(long: DataFrame, short: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """long(key) and short(key), each with the column `gram` by which they meet: all grams of a long key, and of a short key the rarest among
+    the long keys of its grams with GRAM characters (or of all its characters, if it has fewer)."""
+    index = long.withColumn("gram", F.explode(_grams("key")))
+    size = F.least(F.length("key"), F.lit(GRAM))
+    wanted = short.withColumn("gram", F.explode(F.filter(_grams("key"), lambda g: F.length(g) == size)))
+    counts = index.groupBy("gram").agg(F.count("*").alias("n"))
+    # a gram that no long key has can't be contained: the inner join drops its key's row, and other grams would find nothing either
+    best = wanted.join(counts, "gram", "left").groupBy(*short.columns).agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram"))["gram"].alias("gram"))
+    return index, best
+
+
 def fuzzy_labels(brands: DataFrame, index: DataFrame, most: int = MOST_CANDIDATES) -> DataFrame:
     """Up to five labels for each brand, one of whose keys contains the other, nearest in length first; proposed marks a first one whose
     key starts with the other's.
 
-    Containment is found by equality: the substrings of the longer key that have the shorter one's length include it, so both
-    sides are joined on substrings of keys (keys are short), and no brand meets all labels.
+    Keys meet through an index of their grams: the longer key is filed under each of its grams, the shorter one is looked up under its rarest,
+    and containment is verified. Rows before that grow with the length of keys, and no brand meets all labels.
     """
     b = brands.select("brand", brand_key(F.col("brand")).alias("bk")).filter("bk <> ''")
     k = index.select("label", brand_key(F.col("label")).alias("lk"), "pos").filter(F.length("lk") >= LEAST_KEY)
     k = k.groupBy("lk").agg(F.min_by("label", "pos").alias("label"), F.min("pos").alias("pos"))
 
-    def parts(c: str) -> Column:
-        n = F.length(c)
-        return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda m: F.substr(F.col(c), i, m)))))
+    def met(long: DataFrame, short: DataFrame) -> DataFrame:
+        long, short = key_grams(long.withColumnRenamed(long.columns[0], "key"), short.withColumnRenamed(short.columns[0], "key"))
+        return long.withColumnRenamed("key", "long_key").join(short.withColumnRenamed("key", "short_key"), "gram").filter(F.col("long_key").contains(F.col("short_key")))
 
-    in_label = b.join(k.withColumn("bk", F.explode(parts("lk"))), "bk")
-    in_brand = b.withColumn("lk", F.explode(parts("bk"))).join(k, "lk")
-    both = in_label.select("brand", "bk", "lk", "label", "pos").union(in_brand.select("brand", "bk", "lk", "label", "pos")).distinct()
+    labels, names = k.select("lk"), b.select("bk").distinct()
+    in_label = met(labels, names).select(F.col("short_key").alias("bk"), F.col("long_key").alias("lk"))
+    in_brand = met(names, labels).select(F.col("long_key").alias("bk"), F.col("short_key").alias("lk"))
+    both = in_label.union(in_brand).distinct().join(b, "bk").join(k, "lk").select("brand", "bk", "lk", "label", "pos")
     ranked = top_per_key(both, ["brand"], [F.abs(F.length("lk") - F.length("bk")), F.col("pos"), F.col("lk")], most)
     proposed = (F.col("rank") == 1) & (F.col("lk").startswith(F.col("bk")) | F.col("bk").startswith(F.col("lk")))
     return ranked.select("brand", "label", "rank", proposed.alias("proposed"))

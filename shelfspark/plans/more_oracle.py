@@ -117,7 +117,7 @@ MORE_SQL = {
     "alias_lookup": f"WITH {_BRANDS}, c AS (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'maison-n-' || c_nationkey WHEN 1 THEN 'nation-' || c_nationkey ELSE 'shared-name' END AS slug FROM customer) SELECT c_custkey, slug, CASE WHEN slug = 'shared-name' THEN coalesce((SELECT arg_max(canonical, pos) FROM aliases WHERE alias = 'Shared Name'), slug) WHEN starts_with(slug, 'maison-n-') THEN coalesce((SELECT canonical FROM aliases WHERE alias = 'Maison Ñ ' || substr(slug, 10)), slug) ELSE slug END AS brand_norm FROM c",
     "sitemap_slugs": f"WITH {_BRANDS} SELECT * FROM slugs",
     "longest_prefix": f"WITH {_BRANDS} SELECT * FROM indexed",
-    "urls_by_token": f"WITH {_BRANDS} SELECT token, string_agg(url, ' ' ORDER BY url) AS urls FROM indexed GROUP BY 1",
+    "urls_by_token": f"WITH {_BRANDS}, placed AS (SELECT *, (row_number() OVER (PARTITION BY token ORDER BY url) - 1) // 50 AS piece FROM indexed) SELECT token, piece, string_agg(url, ' ' ORDER BY url) AS urls FROM placed GROUP BY 1, 2",
     "brand_pool": f"WITH {_BRANDS} SELECT * FROM found UNION ALL SELECT brand, NULL FROM missing",
     "review_queue": f"WITH {_BRANDS} SELECT * FROM queue",
     "pending_brands": f"WITH {_BRANDS} SELECT run_id, item AS brand FROM queue WHERE source = 'unmatched_brand'",

@@ -482,7 +482,7 @@ MORE = {
     "top_per_key": lambda s, d: history.top_per_key(table(s, d, "events"), ["event_type"], [F.col("value").desc(), F.col("event_id")], 5).select("event_type", "event_id", "value", "rank"),
     "page_captures": captures, "fetch_counters": fetch_counters, "scrubbed_pages": scrubbed, "url_parts": url_parts, "document_names": document_names, "product_slugs": product_slugs, "volumes": volumes, "brand_keys": brand_keys,
     "guarded_formulas": guarded, "iso_weeks": weeks, "stock_and_prices": stock_and_prices, "alias_lookup": alias_lookup, "sitemap_slugs": slugs, "longest_prefix": indexed,
-    "urls_by_token": lambda s, d: scope.urls_by_token(indexed(s, d)).select("token", F.array_join("urls", " ").alias("urls")), "brand_pool": pool, "review_queue": review, "pending_brands": lambda s, d: scope.pending_brands(review(s, d)),
+    "urls_by_token": lambda s, d: scope.urls_by_token(indexed(s, d), 50).select("token", "piece", F.array_join("urls", " ").alias("urls")), "brand_pool": pool, "review_queue": review, "pending_brands": lambda s, d: scope.pending_brands(review(s, d)),
     "resolved_labels": lambda s, d: scope.resolve_labels(label_brands(s, d), label_index(s, d)), "fuzzy_labels": lambda s, d: scope.fuzzy_labels(label_brands(s, d), label_index(s, d)), "brand_paths": brand_paths, "uncovered_brands": uncovered, "enumeration_totals": enumeration_totals,
     "card_products": lambda s, d: listing.card_products(card_pages(s, d), HOST), "variant_products": lambda s, d: listing.variant_products(variant_pages(s, d), HOST), "cards_with_variants": topped_up, "catalogue_products": catalogue,
     "embedded_products": embedded, "microdata_products": lambda s, d: pages.microdata_products(microdata_pages(s, d), 100), "catalogue_links": catalogue_links,

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.functions.pricing import coerce_price, stock_of_count, was_if_higher
-from shelfspark.functions.vocabulary import GATE_TITLE, PRICE_MAX, PRICE_MIN, SHELL_CHARS
+from shelfspark.functions.vocabulary import (
+    BRAND_CLASS, GATE_TITLE, HEADING_CLASS, MEMBERS_PHRASE, NAME_CLASS, NO_SALE_KINDS, PRICE_MAX, PRICE_MIN, PRICE_SPEC, SHELL_CHARS, TEXT_TAGS, VOID_TAGS, VOLUME_WORD, WAS_KIND,
+)
 from shelfspark.schema import BASE, COMPETITOR, RAW_PRODUCT
 from shelfspark.sources.listing import sizes_of
+from shelfspark.storage import spread
 
 
 def page_title(html: Column) -> Column:
@@ -111,18 +115,37 @@ def embedded_products(pages: DataFrame) -> DataFrame:
 
 
 class _Node:
-    def __init__(self, tag: str, attrs: dict[str, str], parent: "_Node | None"):
-        self.tag, self.attrs, self.parent = tag, attrs, parent
-        self.children: list[_Node] = []
-        self.own: list[str] = []
+    """An element, with what its subtree tells once it is closed. Facts of a child are folded into its parent at the child's closing tag, so
+    each is looked at once, however deep or wide a page is."""
 
-    def walk(self) -> Iterator["_Node"]:
-        """All nodes below, in the order of the page; with a stack, as unclosed tags nest without bound."""
-        left = self.children[::-1]
-        while left:
-            node = left.pop()
-            yield node
-            left.extend(node.children[::-1])
+    __slots__ = ("tag", "attrs", "parent", "parts", "own", "at", "spec", "prop", "bad_kind", "money", "first_kind", "first_price", "for_members", "stocked")
+
+    def __init__(self, tag: str, attrs: dict[str, str], parent: _Node | None, at: int):
+        self.tag, self.attrs, self.parent, self.at = tag, attrs, parent, at
+        self.parts: list[_Node | str] = []
+        self.own: list[str] = []
+        self.prop = attrs.get("itemprop")
+        #: Place of the nearest price specification around it, itself not included; -1 if there is none.
+        self.spec = -1 if parent is None else parent.at if parent.prop == PRICE_SPEC else parent.spec
+        self.bad_kind = self.for_members = self.stocked = False
+        self.money = self.first_kind = self.first_price = None
+
+    def fold(self) -> None:
+        """Tell the parent what lies in this subtree; children come in the order of the page, so the first fact is kept."""
+        up = self.parent
+        link, meta = self.tag == "link", self.tag == "meta"
+        kind = self.attrs.get("href", "") if link and self.prop == "priceType" else self.first_kind
+        price = self.attrs.get("content", "").strip() if meta and self.prop == "price" else self.first_price
+        money = self.attrs.get("content", "") if meta and self.prop == "priceCurrency" else self.money
+        if link and self.prop == "priceType":
+            up.bad_kind |= any(x in kind for x in NO_SALE_KINDS)
+        # what a price specification holds says nothing of the prices around it
+        up.bad_kind |= self.bad_kind and self.prop != PRICE_SPEC
+        up.first_kind = kind if up.first_kind is None else up.first_kind
+        up.first_price = price if up.first_price is None else up.first_price
+        up.money = money if up.money is None else up.money
+        up.stocked |= self.stocked or (link and self.prop == "availability")
+        up.for_members |= self.tag in TEXT_TAGS and MEMBERS_PHRASE in "".join(self.own).lower()
 
     def text(self) -> str:
         """The text below; that of each element without the blanks around it."""
@@ -141,115 +164,107 @@ class _Node:
                 left.extend((y, False) for y in x.parts[::-1])
         return "".join(done[0]).strip()
 
-    @property
-    def parts(self) -> list:
-        return getattr(self, "_parts", [])
-
 
-_VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+class _Page(HTMLParser):
+    """A stack of open elements; unclosed ones end with their parent. nodes has all elements in the order of the page."""
 
-
-class _Tree(HTMLParser):
-    """A tree of a page's elements; unclosed ones end with their parent."""
-
-    def __init__(self):
+    def __init__(self, html: str):
         super().__init__()
-        self.root = self.at = _Node("", {}, None)
+        self.nodes: list[_Node] = []
+        self.root = self.top = _Node("", {}, None, -1)
+        #: Where each element's subtree ends among the nodes.
+        self.ends: list[int] = []
+        self.feed(html)
+        while self.top is not self.root:
+            self._close()
+
+    def _close(self) -> None:
+        node, self.top = self.top, self.top.parent
+        self.ends[node.at] = len(self.nodes)
+        node.fold()
 
     def handle_starttag(self, tag, attrs):
-        node = _Node(tag, {k: v or "" for k, v in attrs}, self.at)
-        self.at.children.append(node)
-        self.at.__dict__.setdefault("_parts", []).append(node)
-        if tag not in _VOID:
-            self.at = node
+        node = _Node(tag, {k: v or "" for k, v in attrs}, self.top, len(self.nodes))
+        self.nodes.append(node)
+        self.ends.append(0)
+        self.top.parts.append(node)
+        self.top = node
+        if tag in VOID_TAGS:
+            self._close()
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
-        if tag not in _VOID:
-            self.at = self.at.parent
+        if tag not in VOID_TAGS:
+            self._close()
 
     def handle_endtag(self, tag):
-        node = self.at
+        node = self.top
         while node is not None and node.tag != tag:
             node = node.parent
-        if node is not None and node.parent is not None:
-            self.at = node.parent
+        if node is None or node.parent is None:
+            return
+        while self.top is not node.parent:
+            self._close()
 
     def handle_data(self, data):
-        self.at.own.append(data)
-        self.at.__dict__.setdefault("_parts", []).append(data)
+        self.top.own.append(data)
+        self.top.parts.append(data)
 
 
 OFFERS = "url string, title string, sku string, h1_brand string, h1_name string, h1_text string, prices array<struct<value:long,currency:string>>, was_price long, href string, volume_texts array<string>, volume_label string, has_marker boolean, has_value boolean"
 
 
-def _facts(url: str, html: str) -> dict:
-    """What a page's markup holds, without judging it: offers' candidate prices, strikethrough, heading, volume block."""
-    tree = _Tree()
-    tree.feed(html or "")
-    nodes = list(tree.root.walk())
-    prop = lambda n: n.attrs.get("itemprop")
-    under = lambda n, top: any(prop(x) == "priceSpecification" for x in _up(n, top))
-
-    def _up(n: _Node, top: _Node) -> Iterator[_Node]:
-        n = n.parent
-        while n is not None and n is not top:
-            yield n
-            n = n.parent
+def _facts(html: str) -> dict:
+    """What a page's markup holds, without judging it: an offer's candidate prices, strikethrough, heading, volume block."""
+    page = _Page(html)
+    nodes = page.nodes
+    marks = [n for n in nodes if n.tag == "meta" and n.prop == "price"]
+    places = [n.at for n in marks]
 
     def offered(offer: _Node) -> list[dict]:
         found = []
-        for m in offer.walk():
+        for m in marks[bisect_right(places, offer.at) : bisect_left(places, page.ends[offer.at])]:
             value = m.attrs.get("content", "").strip()
-            if m.tag != "meta" or prop(m) != "price" or not value.isdigit() or under(m, offer):
-                continue
-            kinds = [x.attrs.get("href", "") for x in m.parent.walk() if x.tag == "link" and prop(x) == "priceType" and not under(x, m.parent)]
-            members = any("при авторизации" in "".join(x.own).lower() for x in m.parent.children if x is not m and x.tag in ("span", "div", "p", "label", "small", "h1", "h2", "h3", "h4", "h5", "h6"))
-            if members or any("StrikethroughPrice" in k or "ListPrice" in k for k in kinds):
-                continue
-            money = next((x.attrs.get("content", "") for x in m.parent.walk() if x.tag == "meta" and prop(x) == "priceCurrency"), None)
-            found.append({"value": min(int(value), 1 << 40), "currency": money})
-        return found
-
-    prices: list[dict] = []
-    for offer in nodes:
-        if prop(offer) == "offers" and offer.attrs.get("itemtype", "").endswith("/Offer") and any(x.tag == "link" and prop(x) == "availability" for x in offer.walk()):
-            prices = [p for p in offered(offer) if PRICE_MIN <= p["value"] <= PRICE_MAX]
-            if prices:
-                break
-    was = None
-    for spec in (n for n in nodes if prop(n) == "priceSpecification" and was is None):
-        kind = next((x.attrs.get("href", "") for x in spec.walk() if x.tag == "link" and prop(x) == "priceType"), "")
-        value = next((x.attrs.get("content", "").strip() for x in spec.walk() if x.tag == "meta" and prop(x) == "price"), "")
-        if "StrikethroughPrice" in kind and value.isdigit():
-            was = int(value)
-    cls = lambda n, part: part in n.attrs.get("class", "")
-    heading = next((n for n in nodes if n.tag == "h1" and cls(n, "_ga-pdp-title__heading_")), None)
-    spans = list(heading.walk()) if heading else []
-    brand, name = (next((n for n in spans if cls(n, f"_ga-pdp-title__{k}_")), None) for k in ("brand", "name"))
-    label = next((n for n in nodes if n.tag == "div" and "объём" in "".join(n.own)), None)
+            if value.isdigit() and m.spec <= offer.at and not m.parent.for_members and not m.parent.bad_kind:
+                found.append({"value": min(int(value), 1 << 40), "currency": m.parent.money})
+        return [p for p in found if PRICE_MIN <= p["value"] <= PRICE_MAX]
+
+    offers = (n for n in nodes if n.prop == "offers" and n.stocked and n.attrs.get("itemtype", "").endswith("/Offer"))
+    prices = next((found for found in map(offered, offers) if found), [])
+    was = next((int(n.first_price) for n in nodes if n.prop == PRICE_SPEC and WAS_KIND in (n.first_kind or "") and (n.first_price or "").isdigit()), None)
+    classed = lambda n, part: part in n.attrs.get("class", "")
+    heading = next((n for n in nodes if n.tag == "h1" and classed(n, HEADING_CLASS)), None)
+    spans = nodes[heading.at + 1 : page.ends[heading.at]] if heading else []
+    brand, name = (next((n for n in spans if classed(n, k)), None) for k in (BRAND_CLASS, NAME_CLASS))
+    label = next((n for n in nodes if n.tag == "div" and VOLUME_WORD in "".join(n.own)), None)
     texts, up = [], label.parent if label else None
     while up is not None and len(texts) < 3:
         texts.append(up.text())
         up = up.parent
-    marks = [n for n in nodes if n.tag == "meta" and prop(n) == "price"]
-    sku = next((n.attrs.get("content") for n in nodes if prop(n) == "sku"), None)
+    sku = next((n.attrs.get("content") for n in nodes if n.prop == "sku"), None)
     return {
-        "url": url, "title": next((n.text() for n in nodes if n.tag == "title"), ""), "sku": sku or None,
+        "title": next((n.text() for n in nodes if n.tag == "title"), ""), "sku": sku or None,
         "h1_brand": ((brand.attrs.get("content") or brand.text()) if brand else "").strip(), "h1_name": name.text() if name else "", "h1_text": next((n.text() for n in nodes if n.tag == "h1"), ""),
-        "prices": prices, "was_price": was, "href": next((n.attrs.get("href", "") for n in nodes if n.tag == "link" and prop(n) == "availability"), ""),
+        "prices": prices, "was_price": was, "href": next((n.attrs.get("href", "") for n in nodes if n.tag == "link" and n.prop == "availability"), ""),
         "volume_texts": texts, "volume_label": "".join(label.own) if label else None, "has_marker": bool(marks), "has_value": any(m.attrs.get("content", "").strip() not in ("", "0") for m in marks),
     }
 
 
+_FACTS = pa.schema([
+    ("title", pa.string()), ("sku", pa.string()), ("h1_brand", pa.string()), ("h1_name", pa.string()), ("h1_text", pa.string()), ("prices", pa.list_(pa.struct([("value", pa.int64()), ("currency", pa.string())]))),
+    ("was_price", pa.int64()), ("href", pa.string()), ("volume_texts", pa.list_(pa.string())), ("volume_label", pa.string()), ("has_marker", pa.bool_()), ("has_value", pa.bool_()),
+])
+
+
 def microdata_facts(pages: DataFrame) -> DataFrame:
-    """One row of markup facts for each of pages(url, html); the only step that runs Python on rows."""
+    """One row of markup facts for each of pages(url, html); the only step that runs Python on rows, over Arrow batches."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield pd.DataFrame([_facts(u, h) for u, h in zip(frame["url"], frame["html"], strict=True)], columns=[c.split()[0] for c in OFFERS.split(", ")])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.RecordBatch.from_pylist([_facts(h or "") for h in batch.column("html").to_pylist()], schema=_FACTS)
+            yield pa.RecordBatch.from_arrays([batch.column("url"), *found.columns], names=["url", *found.schema.names])
 
-    return pages.select("url", "html").mapInPandas(run, OFFERS)
+    return spread(pages.select("url", "html")).mapInArrow(run, OFFERS)
 
 
 def block_volume(texts: Column, label: Column) -> Column:

@@ -75,3 +75,9 @@ def settled(spark: SparkSession, build: Callable[[], DataFrame], label: str) ->
         df.write.parquet(path)
         schema = df.schema
     return spark.read.schema(schema).parquet(path), path
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt out over all cores if its input has fewer partitions than that, as one small file has; a large input stays where it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
