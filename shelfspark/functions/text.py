@@ -15,12 +15,20 @@ def _plain(char: str) -> str:
     return "".join(x for x in unicodedata.normalize("NFKD", char) if not unicodedata.combining(x))
 
 
+#: Planes that hold letters with a decomposition, and the Hangul syllables, whose decomposition is arithmetic.
+_LAST = 0x30000
+HANGUL, HANGUL_END = 0xAC00, 0xD7A4
+VOWELS, FINALS = 21, 28
+
+
 @cache
 def _folds() -> tuple[str, str, dict[str, str]]:
     """Letters whose compatibility decomposition without marks is one character, then those without any; their targets; and the
-    letters with a longer one (ligatures, fractions, digraphs, units). Hangul syllables and rarer planes stay as they are."""
+    letters with a longer one (ligatures, fractions, digraphs, units). Hangul syllables are left to arithmetic."""
     single, gone, several = [], [], {}
-    for code in (*range(0xA0, 0x3400), *range(0xFB00, 0xFB50), *range(0xFF00, 0xFFF0)):
+    for code in range(0x80, _LAST):
+        if 0xD800 <= code < 0xE000 or HANGUL <= code < HANGUL_END:
+            continue
         char = chr(code)
         plain = _plain(char)
         if plain == "":
@@ -36,30 +44,56 @@ def is_ascii(c: Column) -> Column:
     return F.octet_length(c) == F.char_length(c)
 
 
+def _syllable(x: Column) -> Column:
+    """A Hangul syllable as its two or three letters: their numbers are the digits of the syllable's place."""
+    letters = lambda first, n: F.split(F.lit(" ".join(chr(first + k) for k in range(n))), " ")
+    place = F.ascii(x) - HANGUL
+    last = (place % FINALS).cast("int")
+    final = F.when(last > 0, F.get(letters(0x11A8, FINALS - 1), last - 1)).otherwise("")
+    return F.concat(F.get(letters(0x1100, 19), F.floor(place / (VOWELS * FINALS)).cast("int")), F.get(letters(0x1161, VOWELS), (F.floor(place / FINALS) % VOWELS).cast("int")), final)
+
+
 def fold(c: Column) -> Column:
-    """Letters without their marks (compatibility decomposition). ASCII text is left alone, and single letters are looked up only
-    where one decomposes to several."""
+    """Letters without their marks (compatibility decomposition), for every code point as the standard library has it. ASCII text is left
+    alone, and single letters are looked up only where one decomposes to several."""
     before, after, several = _folds()
     short = F.translate(c, before, after)
     # one literal, which the optimiser turns into the map; private-use characters part its entries
     table = F.str_to_map(F.lit("\ue000".join(f"{a}\ue001{b}" for a, b in several.items())), F.lit("\ue000"), F.lit("\ue001"))
-    long = F.array_join(F.transform(F.split(short, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
+    of = lambda x: F.when(x.between(chr(HANGUL), chr(HANGUL_END - 1)), _syllable(x)).otherwise(F.coalesce(F.try_element_at(table, x), x))
+    long = F.array_join(F.transform(F.regexp_extract_all(short, F.lit("(?s)."), 0), of), "")  # by code points, not halves of them
     without = F.translate(c, "".join(several), "")
-    return F.when(is_ascii(c), c).when(F.char_length(without) < F.char_length(c), long).otherwise(short)
+    expands = (F.char_length(without) < F.char_length(c)) | c.rlike(f"[{chr(HANGUL)}-{chr(HANGUL_END - 1)}]")
+    return F.when(is_ascii(c), c).when(expands, long).otherwise(short)
+
+
+def _name_of(low: Column, folded: Column) -> Column:
+    plain = F.when(is_ascii(low), F.regexp_replace(low, r"[^\w\s]+", " ")).otherwise(F.regexp_replace(folded, r"(?U)[^\w\s]+", " "))
+    return F.trim(F.when(is_ascii(plain), F.regexp_replace(plain, r"\s+", " ")).otherwise(F.regexp_replace(plain, r"(?U)\s+", " ")))
+
+
+def _slug_of(folded: Column) -> Column:
+    plain = F.regexp_replace(folded, "['’ʼʹ]", "")
+    return F.regexp_replace(F.regexp_replace(plain, f"[^{SLUG_LETTERS}]+", "-"), "^-+|-+$", "")
 
 
 def normalise_name(c: Column) -> Column:
     """Lower case, without marks, punctuation as single blanks; null is empty."""
     low = F.lower(F.coalesce(c, F.lit("")))
-    folded = fold(low)
-    plain = F.when(is_ascii(low), F.regexp_replace(low, r"[^\w\s]+", " ")).otherwise(F.regexp_replace(folded, r"(?U)[^\w\s]+", " "))
-    return F.trim(F.when(is_ascii(plain), F.regexp_replace(plain, r"\s+", " ")).otherwise(F.regexp_replace(plain, r"(?U)\s+", " ")))
+    return _name_of(low, fold(low))
 
 
 def slugify(c: Column) -> Column:
     """Lower case, without marks and apostrophes, everything but letters and digits as single hyphens."""
-    plain = F.regexp_replace(fold(F.lower(c)), "['’ʼʹ]", "")
-    return F.regexp_replace(F.regexp_replace(plain, f"[^{SLUG_LETTERS}]+", "-"), "^-+|-+$", "")
+    return _slug_of(fold(F.lower(c)))
+
+
+def name_and_slug(c: Column) -> Column:
+    """struct(name, slug) of a text, as normalise_name and slugify give them; it is folded once."""
+    low = F.lower(F.coalesce(c, F.lit("")))
+    both = F.transform(F.array(F.struct(low.alias("low"), fold(low).alias("folded"))), lambda x: F.struct(_name_of(x["low"], x["folded"]).alias("name"), _slug_of(x["folded"]).alias("slug")))
+    got = F.get(both, F.lit(0))
+    return F.struct(got["name"].alias("name"), F.when(c.isNotNull(), got["slug"]).alias("slug"))
 
 
 def transliterate(c: Column) -> Column:

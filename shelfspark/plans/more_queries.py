@@ -12,7 +12,7 @@ from shelfspark.sources import listing, pages
 from shelfspark.plans.ledger import Ledger
 from shelfspark.plans.runs import competitor_scope, publish_routes, queue_run, weekly_run
 from shelfspark.sources.adapter import base_products, competitor_products, normalise, offered, raw_base, raw_competitor, snapshots, table
-from shelfspark.storage import materialise, new_path
+from shelfspark.storage import materialise, new_path, spread
 
 HOST = "https://shop.example"
 
@@ -108,7 +108,9 @@ def url_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.md5(F.encode(text.normalise_name(F.col("text")), "utf-8")).alias("name_md5"), F.md5(F.encode(text.slugify(F.col("text")), "utf-8")).alias("slug_md5"))
+    both = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", text.name_and_slug(F.col("text")).alias("n"))
+    digest = lambda c: F.md5(F.encode(c, "utf-8"))
+    return both.select("doc_id", digest("n.name").alias("name_md5"), digest("n.slug").alias("slug_md5"))
 
 
 def product_slugs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,6 +66,16 @@ def test_folding(spark):
     assert every(spark, ["Été — ½ ﬁn!", "A  b\t,c", None], text.normalise_name) == [("ete 1 2 fin",), ("a b c",), ("",)]
 
 
+def test_folding_of_every_code_point(spark):
+    """Against the standard library, a code point and its neighbours at a time; surrogates are no characters."""
+    points = [k for k in range(0x20, 0x110000) if not 0xD800 <= k < 0xE000]
+    stretches = ["".join(map(chr, points[k : k + 8])) for k in range(0, len(points), 8) if points[k] < 0x31000 or 0xE0000 <= points[k] < 0xE0200]
+    assert every(spark, stretches, text.fold) == [(text._plain(x),) for x in stretches]
+    assert every(spark, ["한국 café", None, "𝔸𝟙 a"], text.normalise_name, text.slugify, lambda c: text.name_and_slug(c)["name"], lambda c: text.name_and_slug(c)["slug"]) == [
+        (*(pair := (text._plain("한국 cafe"), "cafe")), *pair), ("", None, "", None), ("A1 a", "1-a", "A1 a", "1-a"),  # letters without a lower case fold to capitals
+    ]
+
+
 def test_deep_markup_and_missing_pages(spark):
     from shelfspark.sources import pages
 
