@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfspark.plans.oracle import FEATURES, MATCHES, SNAPSHOTS, slug
+from shelfspark.plans.oracle import FEATURES, MATCHES, SNAPSHOTS, SQL, slug
 from shelfspark.functions.vocabulary import LATIN_OF
 
 _H = "'https://shop.example"
@@ -77,10 +77,10 @@ MORE_SQL = {
         avg(CASE WHEN retailer = 'competitor' THEN CASE WHEN volume_norm IS NULL THEN 1.0 ELSE 0.0 END END) AS vol, avg(CASE WHEN retailer = 'competitor' THEN CASE WHEN brand_norm = '' THEN 1.0 ELSE 0.0 END END) AS brd FROM snapshots GROUP BY 1),
       v AS (SELECT r.run_id, CASE WHEN req > 0.05 THEN 'base_required_null_rate' WHEN b < 20 THEN 'base_count' WHEN c < 20 THEN 'competitor_count' WHEN vol > 0.5 THEN 'parser_drift_null_volume_rate' WHEN brd > 0.5 THEN 'parser_drift_null_brand_rate' WHEN coalesce(n, 0) < 5 THEN 'match_count' END AS failed_gate FROM r LEFT JOIN m USING (run_id))
       SELECT run_id, failed_gate, failed_gate IS NULL AS passed FROM v""",
-    "publish_routes": """WITH r AS (SELECT o_orderkey AS run_id, CASE WHEN o_orderkey % 5 = 0 THEN 'failed' WHEN o_orderkey % 31 <> 0 THEN 'success' END AS status, o_orderkey AS k FROM orders),
+    "publish_routes": """WITH r AS (SELECT o_orderkey AS run_id, CASE WHEN o_orderkey % 5 = 0 THEN 'failed' WHEN o_orderkey % 37 = 0 THEN 'running' WHEN o_orderkey % 31 <> 0 THEN 'success' END AS status, o_orderkey AS k FROM orders),
       c AS (SELECT *, CASE WHEN status IS DISTINCT FROM 'success' THEN 'run_status' WHEN k % 7 = 0 THEN 'path' WHEN k % 13 = 0 OR k % 11 = 0 THEN 'size_guard' WHEN k % 17 = 0 THEN 'summary_text' END AS failed_check FROM r)
       SELECT run_id, CASE WHEN failed_check IS NULL THEN 'business' ELSE 'ops_only' END AS route, failed_check, CASE failed_check WHEN 'run_status' THEN 'upstream_status_' || coalesce(status, 'None') WHEN 'path' THEN 'no_report' WHEN 'size_guard' THEN 'oversize' WHEN 'summary_text' THEN 'empty_summary_text' END AS reason,
-        CASE WHEN status IS NULL THEN 'missing_run_row' WHEN status = 'failed' THEN 'failed_upstream' ELSE 'runs' END AS skip FROM c""",
+        CASE WHEN status IS NULL THEN 'missing_run_row' WHEN status = 'failed' THEN 'failed_upstream' WHEN status = 'running' THEN 'in_progress_upstream' ELSE 'runs' END AS skip FROM c""",
     "probe_verdicts": f"WITH {_CAPTURES} SELECT page_id % 20 AS run_id, bool_and(price_extracted AND status IN (200, 304) AND NOT block) AS passed, count(*) AS probes FROM captures GROUP BY 1",
     "suggested_thresholds": f"""WITH {_MONTHS}, h AS (SELECT *, coalesce(list(n) OVER (PARTITION BY l_returnflag ORDER BY run_id RANGE BETWEEN 4 PRECEDING AND 1 PRECEDING), []) AS b FROM months),
       w AS (SELECT *, list_append(b, n) AS c FROM h)
@@ -166,6 +166,9 @@ MORE_SQL |= {
     "ledger_edits": f"""WITH {SNAPSHOTS}, kept AS (SELECT *, retailer = 'competitor' AND brand_norm = 'brand-11' AND CAST(replace(sku_id, 'c', '') AS BIGINT) % 2 = 1 AS gone FROM snapshots WHERE {_VALID}),
       n AS (SELECT run_id, retailer, count(*) AS n FROM kept WHERE NOT gone GROUP BY ALL UNION ALL SELECT run_id + 2, retailer, count(*) FROM kept WHERE retailer = 'base' GROUP BY ALL)
       SELECT run_id, retailer, n, n AS skus, CASE WHEN retailer = 'competitor' THEN n END AS stat FROM n""",
+    "report_contents": " UNION ALL ".join(
+        f"SELECT '{name}' AS sheet, run_id, url, brand_norm, name_norm, volume_norm, current_price, was_price FROM ({SQL[key]})" for name, key in (("gaps", "gaps_by_key"), ("promotions", "promotions"))
+    ) + f" UNION ALL SELECT 'deltas', run_id, base_url || ' ' || competitor_url, brand_norm, name_norm, volume_norm, competitor_price, price_delta FROM ({SQL['price_deltas']})",
     "report_sheets": f"SELECT sheet, CAST(sum(rows) AS BIGINT) AS rows FROM ({MORE_SQL['sheet_counts']}) GROUP BY 1",
     "scope_of_runs": f"WITH {_SCOPE} SELECT 'found' AS kind, brand, url FROM found UNION ALL SELECT CASE source WHEN 'new_slug' THEN 'new' ELSE 'unmatched' END, item, NULL FROM queue",
     "ledger_queue": _QUEUES,

@@ -340,7 +340,7 @@ def gate_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
-    runs = table(spark, sf_dir, "orders").select(k.alias("run_id"), F.when(k % 5 == 0, "failed").when(k % 31 != 0, "success").alias("status"), F.when(k % 7 != 0, "p").otherwise("").alias("path"), F.when(k % 13 != 0, k % 11 != 0).alias("size_ok"), F.when(k % 17 != 0, "text").otherwise("  ").alias("summary"))
+    runs = table(spark, sf_dir, "orders").select(k.alias("run_id"), F.when(k % 5 == 0, "failed").when(k % 37 == 0, "running").when(k % 31 != 0, "success").alias("status"), F.when(k % 7 != 0, "p").otherwise("").alias("path"), F.when(k % 13 != 0, k % 11 != 0).alias("size_ok"), F.when(k % 17 != 0, "text").otherwise("  ").alias("summary"))
     return quality.publish_route(runs).join(runs.select("run_id", F.coalesce(quality.upstream_skip(F.col("status")), F.lit("runs")).alias("skip")), "run_id")
 
 
@@ -425,6 +425,16 @@ def report_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def report_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the sheets of gaps and promotions, and what the deltas' sheet tells of each match, as written and read back."""
+    ledger, rows = Ledger(spark, new_path(spark, "ledger")), materialise(snapshots(spark, sf_dir), "rows")
+    folder, _ = ledger.write_sheets(report.sheets(rows, materialise(matching.match_products(rows), "matches")), 0)
+    sheet = lambda name: spark.read.parquet(f"{ledger.root}/{folder}/{name}").withColumn("sheet", F.lit(name))
+    listed = [sheet(n).select("sheet", "run_id", "url", "brand_norm", "name_norm", "volume_norm", "current_price", "was_price") for n in ("gaps", "promotions")]
+    deltas = sheet("deltas").select("sheet", "run_id", F.concat_ws(" ", "base_url", "competitor_url"), "brand_norm", "name_norm", "volume_norm", "competitor_price", "price_delta")
+    return listed[0].union(listed[1]).union(deltas)
+
+
 def run_slugs(spark: SparkSession, sf_dir: str, run_id: int) -> DataFrame:
     return pages.sitemap_slugs(sitemap(spark, sf_dir).filter(F.col("run_id") == run_id))
 
@@ -489,7 +499,7 @@ MORE = {
     "card_products": lambda s, d: listing.card_products(card_pages(s, d), HOST), "variant_products": lambda s, d: listing.variant_products(variant_pages(s, d), HOST), "cards_with_variants": topped_up, "catalogue_products": catalogue,
     "embedded_products": embedded, "microdata_products": lambda s, d: pages.microdata_products(microdata_pages(s, d), 100), "catalogue_links": catalogue_links,
     "run_summary": matched(report.summary), "sheet_counts": matched(report.sheet_counts), "summary_text": matched(lambda s, m: report.summary_text(report.summary(s, m), report.best_deltas(m), F.lit("2026-W19"))),
-    "ledger_weeks": ledger_weeks, "report_routes": report_routes, "ledger_recovery": ledger_recovery, "ledger_edits": ledger_edits, "ledger_queue": ledger_queue, "report_sheets": report_sheets,
+    "ledger_weeks": ledger_weeks, "report_routes": report_routes, "ledger_recovery": ledger_recovery, "ledger_edits": ledger_edits, "ledger_queue": ledger_queue, "report_sheets": report_sheets, "report_contents": report_contents,
     "scope_of_runs": scope_of_runs, "aliased_matches": aliased_matches, "parsed_pages": parsed_pages,
     "distinct_base_brands": lambda s, d: snapshots(s, d).filter((F.col("retailer") == BASE) & ~quality.blank("brand_norm")).select("run_id", "brand_norm").distinct().orderBy("run_id", "brand_norm"),
     "raw_listing": lambda s, d: snapshots(s, d).select("run_id", "retailer", "brand", "name", "sku_id", "current_price").orderBy("run_id", "retailer", "brand", "name", "sku_id"),
