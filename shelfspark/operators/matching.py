@@ -64,6 +64,7 @@ def with_rarest(base: DataFrame, competitor: DataFrame) -> tuple[DataFrame, Data
     known = tokens.withColumn("tells", F.array_contains("telling", F.col("token"))).drop("telling").join(counts, ["run_id", "brand_norm", "token"])
     order = F.struct("n", "token")
     best = known.groupBy("side", "id").agg(F.min(order)["token"].alias("rare"), F.min(F.when(F.col("tells"), order))["token"].alias("rare_telling"))
+    best = materialise(best, "rarest", keep=True)  # both sides and the count of keys read it
     return tuple(rows.join(best.filter(F.col("side") == k).drop("side"), "id", "left") for k, rows in enumerate((base, competitor)))
 
 
