@@ -102,8 +102,8 @@ def family(n, shared, own, first=0):
 
 
 def test_a_family_that_fills_nodes_at_all_levels(spark, monkeypatch):
-    monkeypatch.setattr("shelfspark.llm.near_dup.NODE_ROWS", 200)
-    rows = family(1500, 60, 10)  # 0.73 alike, pairs 0.95
+    monkeypatch.setattr("shelfspark.llm.near_dup.NODE_ROWS", 100)
+    rows = family(600, 60, 10)  # 0.73 alike, pairs 0.95
     got = {r["doc_id"]: r["component_id"] for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()}
     assert got == {i: i - i % 2 for i, _ in rows}
 
