@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import Column
@@ -40,6 +41,11 @@ def _folds() -> tuple[str, str, dict[str, str]]:
     return "".join(a for a, _ in single) + "".join(gone), "".join(b for _, b in single), several
 
 
+def once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value), with the value computed once however often f names it; in branches it would be computed again at each place."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def is_ascii(c: Column) -> Column:
     return F.octet_length(c) == F.char_length(c)
 
@@ -56,20 +62,25 @@ def _syllable(x: Column) -> Column:
 def fold(c: Column) -> Column:
     """Letters without their marks (compatibility decomposition), for every code point as the standard library has it. ASCII text is left
     alone, and single letters are looked up only where one decomposes to several."""
+    return once(c, _folded)
+
+
+def _folded(c: Column) -> Column:
     before, after, several = _folds()
     short = F.translate(c, before, after)
     # one literal, which the optimiser turns into the map; private-use characters part its entries
     table = F.str_to_map(F.lit("\ue000".join(f"{a}\ue001{b}" for a, b in several.items())), F.lit("\ue000"), F.lit("\ue001"))
     of = lambda x: F.when(x.between(chr(HANGUL), chr(HANGUL_END - 1)), _syllable(x)).otherwise(F.coalesce(F.try_element_at(table, x), x))
-    long = F.array_join(F.transform(F.regexp_extract_all(short, F.lit("(?s)."), 0), of), "")  # by code points, not halves of them
-    without = F.translate(c, "".join(several), "")
-    expands = (F.char_length(without) < F.char_length(c)) | c.rlike(f"[{chr(HANGUL)}-{chr(HANGUL_END - 1)}]")
+    # ASCII stretches stay whole, other text goes by code points, not halves of them
+    pieces = F.regexp_extract_all(short, F.lit(r"(?s)[\x00-\x7F]+|."), 0)
+    long = F.array_join(F.transform(pieces, lambda x: F.when(is_ascii(x), x).otherwise(of(x))), "")
+    expands = (F.char_length(F.translate(c, "".join(several), "")) < F.char_length(c)) | c.rlike(f"[{chr(HANGUL)}-{chr(HANGUL_END - 1)}]")
     return F.when(is_ascii(c), c).when(expands, long).otherwise(short)
 
 
 def _name_of(low: Column, folded: Column) -> Column:
     plain = F.when(is_ascii(low), F.regexp_replace(low, r"[^\w\s]+", " ")).otherwise(F.regexp_replace(folded, r"(?U)[^\w\s]+", " "))
-    return F.trim(F.when(is_ascii(plain), F.regexp_replace(plain, r"\s+", " ")).otherwise(F.regexp_replace(plain, r"(?U)\s+", " ")))
+    return once(plain, lambda x: F.trim(F.when(is_ascii(x), F.regexp_replace(x, r"\s+", " ")).otherwise(F.regexp_replace(x, r"(?U)\s+", " "))))
 
 
 def _slug_of(folded: Column) -> Column:
@@ -79,8 +90,7 @@ def _slug_of(folded: Column) -> Column:
 
 def normalise_name(c: Column) -> Column:
     """Lower case, without marks, punctuation as single blanks; null is empty."""
-    low = F.lower(F.coalesce(c, F.lit("")))
-    return _name_of(low, fold(low))
+    return once(F.lower(F.coalesce(c, F.lit(""))), lambda low: _name_of(low, _folded(low)))
 
 
 def slugify(c: Column) -> Column:
@@ -91,9 +101,9 @@ def slugify(c: Column) -> Column:
 def name_and_slug(c: Column) -> Column:
     """struct(name, slug) of a text, as normalise_name and slugify give them; it is folded once."""
     low = F.lower(F.coalesce(c, F.lit("")))
-    both = F.transform(F.array(F.struct(low.alias("low"), fold(low).alias("folded"))), lambda x: F.struct(_name_of(x["low"], x["folded"]).alias("name"), _slug_of(x["folded"]).alias("slug")))
-    got = F.get(both, F.lit(0))
-    return F.struct(got["name"].alias("name"), F.when(c.isNotNull(), got["slug"]).alias("slug"))
+    both = once(low, lambda x: F.struct(c.isNull().alias("missing"), x.alias("low"), _folded(x).alias("folded")))
+    slug = lambda x: F.when(~x["missing"], _slug_of(x["folded"]))
+    return once(both, lambda x: F.struct(_name_of(x["low"], x["folded"]).alias("name"), slug(x).alias("slug")))
 
 
 def transliterate(c: Column) -> Column:

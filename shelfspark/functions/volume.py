@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelfspark.functions.text import once
 from shelfspark.functions.vocabulary import AMOUNT, MULTIPACK, SET_OF_VOLUME, TIMES_VOLUME, UNITS
 
 VOLUME_TYPE = "struct<amount:decimal(18,6),unit:string,count:int>"
@@ -33,8 +34,8 @@ def parse_volume(c: Column) -> Column:
 
     def several(pattern: str) -> Column:
         part = lambda k: F.regexp_extract(text, f"(?U){pattern}", k)
-        count, amount, unit = part(1).try_cast("int"), _amount(part(2)), _unit(part(3))
-        return F.when(unit.isNotNull() & (amount > 0) & (count > 0), F.struct(amount.alias("amount"), unit.alias("unit"), count.alias("count")))
+        found = F.struct(_amount(part(2)).alias("amount"), _unit(part(3)).alias("unit"), part(1).try_cast("int").alias("count"))
+        return once(found, lambda x: F.when(x["unit"].isNotNull() & (x["amount"] > 0) & (x["count"] > 0), x))
 
     pairs = F.arrays_zip(F.regexp_extract_all(text, F.lit(f"(?U){AMOUNT}"), 1).alias("a"), F.regexp_extract_all(text, F.lit(f"(?U){AMOUNT}"), 2).alias("u"))
     known = F.filter(F.transform(pairs, lambda p: F.struct(_amount(p["a"]).alias("amount"), _unit(p["u"]).alias("unit"), F.lit(1).alias("count"))), lambda p: p["unit"].isNotNull() & (p["amount"] > 0))
@@ -44,8 +45,12 @@ def parse_volume(c: Column) -> Column:
 
 def write_volume(v: Column) -> Column:
     """The canonical form (50,ml,1), which joins compare; amounts have no trailing zeros."""
-    amount = F.regexp_replace(F.regexp_replace(v["amount"].cast("string"), "0+$", ""), r"\.$", "")
-    return F.when(v.isNotNull(), F.concat(F.lit("("), amount, F.lit(","), v["unit"], F.lit(","), v["count"].cast("string"), F.lit(")")))
+
+    def written(x: Column) -> Column:
+        amount = F.regexp_replace(F.regexp_replace(x["amount"].cast("string"), "0+$", ""), r"\.$", "")
+        return F.when(x.isNotNull(), F.concat(F.lit("("), amount, F.lit(","), x["unit"], F.lit(","), x["count"].cast("string"), F.lit(")")))
+
+    return once(v, written)
 
 
 def volume_norm(c: Column) -> Column:
