@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,11 +36,14 @@ ROWS_PER_SLICE = 200_000
 MOST_SLICES = 4096
 
 
-def numbered(df: DataFrame, keys: list[str], order: list[Column], slices: int, out: str) -> DataFrame:
+def numbered(df: DataFrame, keys: list[str], order: list[Column], slices: int, out: str, facts: DataFrame | None = None) -> DataFrame:
     """A number for each row, from 0 without gaps within each group of keys, however large a group is.
 
     A group is cut into slices by a hash of the ordering columns; rows are numbered within a slice, and the counts of
     the slices before it are added. At most `slices` counts exist for each group, and one slice is all that a task sorts.
+
+    facts has a row for each group: the key columns under the names __f0, __f1 and so on, then what its rows are to get. It is joined with the
+    counts, so that rows meet it slice by slice and never by their group alone.
     """
     rows = df.withColumn("__slice", F.pmod(F.xxhash64(*order), F.lit(slices)))
     part = [*keys, "__slice"]
@@ -47,6 +52,9 @@ def numbered(df: DataFrame, keys: list[str], order: list[Column], slices: int, o
         *(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), F.col("__slice").alias("__s"),
         (F.sum("__n").over(Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n")).alias("__before"),
     )
+    if facts is not None:
+        same = [F.col(f"__k{i}").eqNullSafe(F.col(f"__f{i}")) for i in range(len(keys))]
+        before = before.join(facts, reduce(Column.__and__, same)).drop(*(f"__f{i}" for i in range(len(keys))))
     match = F.col("__slice") == F.col("__s")
     for i, k in enumerate(keys):
         match &= F.col(k).eqNullSafe(F.col(f"__k{i}"))

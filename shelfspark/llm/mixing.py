@@ -96,10 +96,11 @@ def mix_sources(docs: DataFrame, text: str = "text", source: str = "source", doc
         "rate", F.when(F.col("x") == 0, F.lit(1.0)).when(F.col("lam").isNull(), F.lit(MOST)).otherwise(F.least(F.lit(MOST), F.exp(F.least(F.col("lam") * F.col("x") / F.col("mean"), F.lit(2.0)))))
     )
     upto = F.sum(F.col("n") * F.col("rate")).over(Window.partitionBy("source").orderBy("x").rowsBetween(Window.unboundedPreceding, -1))
-    table = materialise(rated.select(F.col("source").alias("__c"), F.col("x").alias("__x"), "source_size", "target", "rate", F.coalesce(upto, F.lit(0.0)).alias("__upto")), "rates")
+    rates = rated.select(F.col("source").alias("__f0"), F.col("x").alias("__f1"), "source_size", "target", "rate", F.coalesce(upto, F.lit(0.0)).alias("__upto"))
     n_rows = cells.agg(F.sum("n")).first()[0] or 0
-    placed = numbered(rows, [src, "__bin"], [F.col(ident), F.xxhash64(names[text])], slices_for(n_rows), "__i")  # a slice of a source's bin is all that a task sorts
-    out = placed.join(table, F.col(src).eqNullSafe(F.col("__c")) & (F.col("__bin") == F.col("__x")))
+    # a slice of a source's bin is all that a task sorts, and all that its rate is joined with
+    order = [F.col(ident), F.xxhash64(names[text])]
+    out = numbered(rows, [src, "__bin"], order, slices_for(n_rows), "__i", materialise(rates, "rates"))
     running = lambda i: F.floor(F.round(F.col("__upto") + i * F.col("rate"), 6) + 0.5)
     out = out.withColumn("copies", F.when(F.col("size") == 0, F.lit(1)).otherwise(F.least(running(F.col("__i") + 1) - running(F.col("__i")), F.lit(int(MOST)))).cast("int"))
     return restore(out.withColumn("taken", F.col("copies") * F.col("size")), names, "size", "source_size", "target", "rate", "copies", "taken")
