@@ -7,7 +7,7 @@ import random
 from pyspark.sql import functions as F
 
 from shelfspark.functions.tokens import names_match
-from shelfspark.operators import matching
+from shelfspark.operators import matching, report
 from shelfspark.schema import BASE, COMPETITOR
 from tests.test_catalogue import PLANTED
 
@@ -68,3 +68,33 @@ def test_a_brand_with_half_of_all_rows_is_dealt_out(spark, monkeypatch):
     for _, largest, before in seen:
         assert largest <= before
     assert any(largest < 0.7 * before for _, largest, before in seen), seen
+
+
+def copied(rows, n):
+    """Each product n times, with skus, prices and stock of its own."""
+    k = F.col("k").cast("int")
+    again = rows.crossJoin(rows.sparkSession.range(n).withColumnRenamed("id", "k")).withColumns({"sku_id": F.concat("sku_id", F.lit("-"), k.cast("string")), "current_price": F.col("current_price") + k % 3 * 7, "was_price": F.when(k % 2 == 0, F.lit(9999))})
+    return again.drop("k")
+
+
+def test_copies_are_matched_once(spark):
+    """Pairs that are tested and stored don't grow with copies, and what follows from matches is that of all pairs of rows."""
+    rows = products(spark, 60, 3)
+    many = copied(rows, 8).localCheckpoint()
+    one, classed = matching.match_classes(rows), matching.match_classes(many)
+    assert classed.pairs.count() == one.pairs.count() > 20
+    listed = all_pairs(many)[1].select(
+        F.col("b_run_id").alias("run_id"), F.col("b_sku_id").alias("base_sku"), F.col("c_sku_id").alias("competitor_sku"), F.col("b_brand_norm").alias("brand_norm"), F.col("b_name_norm").alias("name_norm"),
+        F.coalesce("b_volume_norm", "c_volume_norm").alias("volume_norm"), F.col("b_current_price").alias("base_price"), F.col("c_current_price").alias("competitor_price"), F.col("b_was_price").alias("base_was_price"),
+        F.col("c_was_price").alias("competitor_was_price"), (F.col("c_current_price") - F.col("b_current_price")).alias("price_delta"), F.round((F.col("c_current_price") - F.col("b_current_price")) * 100.0 / F.col("b_current_price"), 2).alias("price_delta_pct"),
+    ).localCheckpoint()
+    same = lambda a, b: sorted(map(str, a.select(*sorted(a.columns)).collect())) == sorted(map(str, b.select(*sorted(a.columns)).collect()))
+    assert same(classed.rows(), listed) and listed.count() > 64 * 20
+    for of in (
+        lambda m: matching.match_rates(many, m), lambda m: matching.gaps(many, m), lambda m: matching.gaps(many, m, by="sku"), lambda m: matching.price_deltas(m, many), lambda m: report.sheet_counts(many, m),
+        lambda m: report.summary(many, m), lambda m: report.best_deltas(m, 5),
+    ):
+        assert same(of(classed), of(listed))
+    ranked = listed.orderBy(F.abs("price_delta_pct").desc(), "base_sku", "competitor_sku").limit(40).collect()
+    for m in (classed, listed):
+        assert [(r["base_sku"], r["competitor_sku"], r["price_delta_pct"]) for r in matching.top_deltas(m, 40).collect()] == [(r["base_sku"], r["competitor_sku"], r["price_delta_pct"]) for r in ranked]
