@@ -85,3 +85,18 @@ def test_small_inputs_are_spread(spark):
     assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and spread(one).agg(F.sum("id")).first()[0] == 45
     many = spark.range(0, 100, 1, 9)
     assert spread(many) is many
+
+
+def test_longest_prefix_sorts_nothing(spark):
+    """The depth is hashed, where tokens as values of an aggregate would be sorted; results are those of a dictionary."""
+    import itertools
+
+    from shelfspark.operators import scope
+
+    known = ["a", "a-b", "a-b-c", "b-b", "c", "x-y-z"]
+    slugs = ["-".join(x) for n in (1, 2, 3, 4) for x in itertools.product("abcx", repeat=n)] + ["", "-a"]
+    rows = spark.createDataFrame([(s, f"u{i % 2}/{s}") for s in slugs for i in (0, 1, 2)], "slug string, url string")
+    found = scope.longest_prefix(rows, spark.createDataFrame([(t,) for t in known], "token string"))
+    deepest = lambda s: max((t for t in known if s and (s + "-").startswith(t + "-") and t.count("-") < 3), key=len, default=None)
+    assert sorted(map(tuple, found.collect())) == sorted((s, f"u{i}/{s}", deepest(s)) for s in slugs for i in (0, 1) if deepest(s))
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
