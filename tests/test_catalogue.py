@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from shelfspark.functions import text, volume
 from shelfspark.functions.tokens import product_type
+from shelfspark.functions.vocabulary import SET_OF_VOLUME, TIMES_VOLUME
 from shelfspark.operators import history, matching, quality
 from shelfspark.plans.ledger import Ledger
 from shelfspark.plans.more_oracle import MORE_SQL
@@ -167,3 +168,12 @@ def test_streamed_captures(spark, tmp_path):
     query.awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 5
     assert fetch_counters(spark.read.parquet(source)).agg(F.sum("fetches")).first()[0] == 20
+
+
+def test_volumes_are_searched_once(spark):
+    """The parts of a pattern are taken only from texts that have it, and the next pattern is tried where the parts are no volume."""
+    texts = ["50 мл", "set of 2 x 30 ml", "3 x 50 мл", "3 x 50 zz", "set of 2 7 zz, 4 x 5 g", "0 x 50 ml", "5 zz 20 ml", "", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", volume.volume_norm(F.col("t")).alias("v"))
+    assert [r["v"] for r in rows.orderBy("i").collect()] == ["(50,ml,1)", "(30,ml,2)", "(50,ml,3)", None, "(5,g,4)", None, "(20,ml,1)", None, None]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert all(f"(?U){pattern})" in plan for pattern in (SET_OF_VOLUME, TIMES_VOLUME))  # extractions have a number after it
