@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from shelfspark.functions.tokens import names_match
 from shelfspark.operators import matching, report
+from shelfspark.plans.ledger import Ledger
 from shelfspark.schema import BASE, COMPETITOR
 from tests.test_catalogue import PLANTED
 
@@ -98,3 +99,20 @@ def test_copies_are_matched_once(spark):
     ranked = listed.orderBy(F.abs("price_delta_pct").desc(), "base_sku", "competitor_sku").limit(40).collect()
     for m in (classed, listed):
         assert [(r["base_sku"], r["competitor_sku"], r["price_delta_pct"]) for r in matching.top_deltas(m, 40).collect()] == [(r["base_sku"], r["competitor_sku"], r["price_delta_pct"]) for r in ranked]
+
+
+def test_sheets_of_copies_are_stored_by_class(spark, tmp_path):
+    """What is written of the sheet of deltas grows with products; read back, it has a row for each match, whose texts are guarded."""
+    many = copied(products(spark, 60, 3), 24).withColumn("url", F.concat(F.when(F.col("sku_id").endswith("-3"), "=").otherwise(""), "url")).localCheckpoint()
+    found, ledger = matching.match_classes(many), Ledger(spark, str(tmp_path))
+    folder, _ = ledger.write_sheets(report.sheets(many, found), 1)
+    wanted = report.guard_formulas(matching.price_deltas(found, many))
+    stored, n = ledger.read_sheets(folder), wanted.count()
+    assert sum(rows.count() for name, rows in stored.items() if name.startswith("deltas")) < n / 2 and n > 64 * 20
+    same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert same(report.whole(stored)["deltas"], wanted) and wanted.filter("base_url LIKE '\\'=%' AND competitor_url LIKE '\\'=%'").count()
+    counts = report.sheet_counts(many, found).groupBy("sheet").agg(F.sum("rows").alias("rows"))
+    assert same(report.rows_of_sheets(stored), counts) and set(report.whole(stored)) == {"deltas", "gaps", "promotions", "summary"}
+    listed, _ = ledger.write_sheets(report.sheets(many, found.rows()), 2)  # matches that are given as rows
+    again = ledger.read_sheets(listed)
+    assert same(report.whole(again)["deltas"], wanted) and same(report.rows_of_sheets(again), counts)
