@@ -116,3 +116,20 @@ def test_sheets_of_copies_are_stored_by_class(spark, tmp_path):
     listed, _ = ledger.write_sheets(report.sheets(many, found.rows()), 2)  # matches that are given as rows
     again = ledger.read_sheets(listed)
     assert same(report.whole(again)["deltas"], wanted) and same(report.rows_of_sheets(again), counts)
+
+
+def test_many_deltas_are_written_out_in_order(spark):
+    """The rows and order of a sort, in several parts, but only lines and products are shuffled; deltas may agree, and URLs, too."""
+    few = (F.floor(F.col("current_price") / 40) * 40).cast("long")
+    many = copied(products(spark, 60, 3), 8).withColumn("current_price", few).localCheckpoint()
+    found = matching.match_classes(many)
+    wanted, got = matching.by_delta(matching.price_deltas(found, many)), matching.sorted_deltas(found, many, 10, 700)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    shuffled = [line for line in plan.split("\n") if "Exchange" in line]
+    assert "rangepartitioning" not in plan and "SortMergeJoin [part" in plan and shuffled and not any("urls" in line or "size" in line for line in shuffled)
+    place = lambda r: (-abs(r["price_delta_pct"]), r["base_url"], r["competitor_url"])
+    a, b = wanted.collect(), got.collect()
+    assert got.columns == wanted.columns and sorted(map(str, a)) == sorted(map(str, b)) and [place(r) for r in a] == [place(r) for r in b] and len(b) > 64 * 20
+    assert len({place(r) for r in b}) < len(b)
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 1 and matching.sorted_deltas(found.rows(), many).count() == len(b)
